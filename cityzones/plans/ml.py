@@ -66,10 +66,11 @@ def select_features(schema: StructType, label: str = ML_LABEL, exclude=ML_EXCLUD
     return numeric, boolean
 
 
-def fit_indexers(df: DataFrame, categorical: list[str]) -> list:
+def fit_indexers(df: DataFrame, categorical: list[str], handle_invalid: str = "error") -> list:
     """String indexers fitted on all of ``df`` (most frequent label first, ties
-    alphabetical); unseen labels at prediction time get an extra index."""
-    return [StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid="keep").fit(df)
+    alphabetical).  ``handle_invalid='keep'`` maps labels unseen at fit time to
+    one extra index (and so adds one one-hot slot); the default fails on them."""
+    return [StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid=handle_invalid).fit(df)
             for c in categorical]
 
 
