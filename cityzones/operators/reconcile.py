@@ -19,6 +19,7 @@ from cityzones.functions.checks import fail_if
 from cityzones.functions.text import normalize_name, remove_char
 from cityzones.operators.joins import DEFAULT_BROADCAST_ROWS, join_small
 from cityzones.schemas import LOOKUP_COLUMNS
+from cityzones.session import cut_lineage
 
 POLICIES = ("error", "drop", "keep")
 
@@ -103,21 +104,29 @@ def _deletion_variants(col: Column, k: int) -> Column:
 def reconcile_names(names: DataFrame, canon: DataFrame, name: str, canon_id: str, canon_name: str,
                     parent: str | None = None, canon_parent: str | None = None,
                     max_distance: int = 2, out_id: str = "id", out_name: str = "name_reconciled",
-                    out_distance: str = "distance") -> DataFrame:
+                    out_distance: str = "distance", materialize: bool = True) -> DataFrame:
     """Best canonical entry for every distinct (name, parent) of ``names``.
 
     Names and canonical names are compared on ``normalize_name``.  Candidates
     must share the parent (when given) and be within ``max_distance`` edits;
     the best has the smallest distance, then the smallest id.  Names without a
     candidate are kept with null id.  Output columns: name, parent (if any),
-    ``out_id``, ``out_name``, ``out_distance``."""
+    ``out_id``, ``out_name``, ``out_distance``.
+
+    ``materialize`` checkpoints the distinct names (an eager job) so the input
+    is scanned once; the distinct set is bounded by the spelling variety,
+    not by the row count."""
     block = F.col(parent) if parent else F.lit("")
     cblock = F.col(canon_parent) if canon_parent else F.lit("")
     keys = [name] + ([parent] if parent else [])
 
+    # The distinct names are used four times below; materialise them once in
+    # the reliable checkpoint folder so the (large) raw input is scanned once.
     src = (names.where(F.col(name).isNotNull()).select(*keys).distinct()
            .withColumn("_blk", block.cast("string"))
            .withColumn("_n", normalize_name(name)))
+    if materialize:
+        src = cut_lineage(src)
     cn = (canon.select(F.col(canon_id).alias("_cid"), F.col(canon_name).alias("_cname"),
                        cblock.cast("string").alias("_cblk"))
           .withColumn("_cn", normalize_name("_cname")))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
@@ -101,11 +102,26 @@ def feature_stages(df: DataFrame, label: str = ML_LABEL, categorical=ML_CATEGORI
 
 def train(df: DataFrame, label: str = ML_LABEL, categorical=ML_CATEGORICAL, exclude=ML_EXCLUDED,
           split_keys: list[str] | None = None, train_fraction: float = 0.7, num_trees: int = 10,
-          seed: int = 42, include_categorical: bool = False):
+          seed: int = 42, include_categorical: bool = False, persist: bool = True):
     """Fit preprocessing + random forest on the train split, evaluate RMSE on
     the test split.  Returns ``(model, test_predictions, rmse)``.
 
-    With ``split_keys`` the split is the stable hash split, else seeded random."""
+    With ``split_keys`` the split is the stable hash split, else seeded random.
+    ``persist`` keeps the input in memory / disk while the stages make their
+    passes (indexers, imputer, encoder, forest, evaluation) instead of
+    recomputing its lineage for each; lost blocks are recomputed."""
+    if persist:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _train(df, label, categorical, exclude, split_keys, train_fraction, num_trees, seed,
+                      include_categorical)
+    finally:
+        if persist:
+            df.unpersist()
+
+
+def _train(df, label, categorical, exclude, split_keys, train_fraction, num_trees, seed,
+           include_categorical):
     if split_keys:
         tr, te = hash_split(df, split_keys, train_fraction)
     else:

@@ -16,7 +16,7 @@ from cityzones.schemas import (
 
 # Snapshot folders are named YYYY_MM_DD_<anything> (optionally as the value
 # of a partition folder, key=YYYY_MM_DD_<anything>), data files part-*.
-SNAPSHOT_DATE_PATTERN = r"/(?:[^/=]*=)?(\d+)_(\d+)_(\d+)[^/]*/part-[^/]*$"
+SNAPSHOT_DATE_PATTERN = r"/(?:[^/=]*=)?(\d+_\d+_\d+)[^/]*/part-[^/]*$"
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -33,8 +33,8 @@ def read_income(spark: SparkSession, path: str) -> DataFrame:
 
 def path_date_columns(df: DataFrame, path_col: str = "_path") -> DataFrame:
     """Add int ``year``, ``month``, ``day`` parsed from the snapshot folder name."""
-    parts = {name: F.regexp_extract(F.col(path_col), SNAPSHOT_DATE_PATTERN, i).try_cast("int")
-             for i, name in ((1, "year"), (2, "month"), (3, "day"))}
+    date = F.split(F.regexp_extract(F.col(path_col), SNAPSHOT_DATE_PATTERN, 1), "_")
+    parts = {name: F.get(date, i).try_cast("int") for i, name in enumerate(("year", "month", "day"))}
     return df.withColumns(parts)
 
 
