@@ -840,6 +840,74 @@ def q_reconcile_names(spark, d):
                            out_id="id", out_name="name_reconciled")
 
 
+DIRTY_REGION_SQL = """CASE c_mktsegment
+    WHEN 'MACHINERY' THEN lower(r_name)
+    WHEN 'AUTOMOBILE' THEN replace(r_name, 'A', '')
+    WHEN 'FURNITURE' THEN replace(r_name, 'E', 'EE')
+    ELSE r_name END"""
+
+
+def _dirty_pairs(spark, d) -> DataFrame:
+    """Raw (neighbourhood, district) name pairs as an incident file carries them."""
+    c = _t(spark, d, "customer")
+    g = _geo(spark, d)
+    j = c.join(g, c.c_nationkey == g.n_nationkey)
+    seg = F.col("c_mktsegment")
+    nb = (F.when(seg == "AUTOMOBILE", F.col("n_name"))
+          .when(seg == "BUILDING", F.lower(F.replace("n_name", F.lit("_"), F.lit(" "))))
+          .when(seg == "FURNITURE", F.replace("n_name", F.lit("NATION"), F.lit("NATON")))
+          .when(seg == "HOUSEHOLD", F.replace("n_name", F.lit("_"), F.lit("")))
+          .otherwise(F.concat("n_name", F.lit("X"))))
+    di = (F.when(seg == "MACHINERY", F.lower("r_name"))
+          .when(seg == "AUTOMOBILE", F.replace("r_name", F.lit("A"), F.lit("")))
+          .when(seg == "FURNITURE", F.replace("r_name", F.lit("E"), F.lit("EE")))
+          .otherwise(F.col("r_name")))
+    return j.select(nb.alias("BARRI"), di.alias("DISTRICTE"))
+
+
+def _best_sql(src: str, key: str, canon: str, cid: str, cname: str, block: tuple | None) -> str:
+    on = f"levenshtein({NORMALIZE_SQL.format(x=f's.{key}')}, {NORMALIZE_SQL.format(x=f'c.{cname}')}) <= 2"
+    part = f"s.{key}"
+    if block:
+        on = f"c.{block[1]} = s.{block[0]} AND " + on
+        part += f", s.{block[0]}"
+    return f"""(SELECT * FROM (
+      SELECT s.*, c.{cid} AS _id, c.{cname} AS _name,
+             row_number() OVER (PARTITION BY {part} ORDER BY levenshtein(
+               {NORMALIZE_SQL.format(x=f's.{key}')}, {NORMALIZE_SQL.format(x=f'c.{cname}')}), c.{cid}) AS rn
+      FROM {src} s JOIN {canon} c ON {on}) WHERE rn = 1)"""
+
+
+@query("incident_lookup_build", sql=f"""
+WITH pairs AS (
+  SELECT DISTINCT {DIRTY_NAME_SQL} AS BARRI, {DIRTY_REGION_SQL} AS DISTRICTE
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+dn AS (SELECT DISTINCT DISTRICTE FROM pairs),
+db AS {_best_sql('dn', 'DISTRICTE', 'region', 'r_regionkey', 'r_name', None)},
+pd AS (SELECT pairs.*, db._id AS district_id, db._name AS district_n_reconciled
+       FROM pairs LEFT JOIN db USING (DISTRICTE)),
+bn AS (SELECT DISTINCT BARRI, district_id FROM pd WHERE district_id IS NOT NULL),
+nb AS {_best_sql('bn', 'BARRI', 'nation', 'n_nationkey', 'n_name', ('district_id', 'n_regionkey'))}
+SELECT DISTINCT CAST(nb._id AS VARCHAR) AS neighborhood_id, nb._name AS neighborhood_n_reconciled,
+       pd.BARRI AS neighborhood, CAST(pd.district_id AS VARCHAR) AS district_id,
+       pd.district_n_reconciled, pd.DISTRICTE AS district
+FROM pd LEFT JOIN nb ON pd.BARRI = nb.BARRI AND pd.district_id = nb.district_id""")
+def q_incident_lookup_build(spark, d):
+    """Reconcile raw names to a lookup, write it as one CSV (a dimension), read it back."""
+    from cityzones.plans.lookup_builder import build_incident_lookup
+    from cityzones.schemas import INCIDENT_LOOKUP_DDL
+    from cityzones.sources.sinks import write_single_csv
+    lk = build_incident_lookup(
+        _dirty_pairs(spark, d),
+        _t(spark, d, "region").select(F.col("r_regionkey").alias("district_id"),
+                                     F.col("r_name").alias("district_name")),
+        _t(spark, d, "nation").select(F.col("n_nationkey").alias("neighborhood_id"),
+                                     F.col("n_name").alias("neighborhood_name"),
+                                     F.col("n_regionkey").alias("district_id")))
+    path = write_single_csv(lk, scratch_path(spark, "lookup-iris-new"))
+    return spark.read.option("header", True).schema(INCIDENT_LOOKUP_DDL).csv(path)
+
+
 # =====================================================================================
 # Aggregations and set operations
 # =====================================================================================

@@ -92,13 +92,13 @@ def _deletion_variants(col: Column, k: int) -> Column:
     Two strings within Levenshtein distance k always share such a variant (a
     substitution is one deletion on each side, an insertion one deletion on
     the other), so an equi-join on variants finds every pair within distance
-    k without comparing all pairs of a block."""
-    level = F.array(col)
-    out = level
+    k without comparing all pairs of a block.  Each level is bound once (as a
+    lambda variable) so the expression stays linear in k."""
+    variants = F.array(col)
     for _ in range(k):
-        level = F.array_distinct(_delete_one(level))
-        out = F.concat(out, level)
-    return F.array_distinct(out)
+        variants = F.get(F.transform(
+            F.array(variants), lambda a: F.array_distinct(F.concat(a, _delete_one(a)))), 0)
+    return variants
 
 
 def reconcile_names(names: DataFrame, canon: DataFrame, name: str, canon_id: str, canon_name: str,
