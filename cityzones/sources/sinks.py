@@ -7,7 +7,15 @@ from pyspark.sql import DataFrame
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
-                  partition_by: list[str] | None = None) -> str:
+                  partition_by: list[str] | None = None, rebalance: bool = True) -> str:
+    """Parquet, optionally partitioned into ``key=value`` folders.
+
+    With ``partition_by``, ``rebalance`` groups rows by the partition columns
+    first (AQE rebalance: small partitions are merged, a partition value
+    holding a large share of rows is split over several tasks), so each
+    folder gets a few well-sized files instead of one file per task."""
+    if partition_by and rebalance:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -25,6 +25,7 @@ from cityzones.plans.formatters import format_rent
 from cityzones.schemas import RENT_COLUMNS, RENT_DDL
 from cityzones.session import scratch_path
 from cityzones.sources.files import path_date_columns
+from cityzones.sources.sinks import write_parquet
 
 
 def rent_landing_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None
@@ -55,7 +56,7 @@ def append_new_rows(batch: DataFrame, out_path: str, partition_cols: list[str])
         stored = stored.join(F.broadcast(touched), partition_cols, "left_semi").select(*batch.columns)
         same = reduce(lambda a, b: a & b, [batch[c].eqNullSafe(stored[c]) for c in batch.columns])
         new = batch.join(stored, same, "left_anti")
-    new.write.mode("append").partitionBy(*partition_cols).parquet(out_path)
+    write_parquet(new, out_path, mode="append", partition_by=partition_cols)
 
 
 def run_incremental(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], out_path: str,
