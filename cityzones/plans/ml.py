@@ -68,11 +68,15 @@ def select_features(schema: StructType, label: str = ML_LABEL, exclude=ML_EXCLUD
 
 
 def fit_indexers(df: DataFrame, categorical: list[str], handle_invalid: str = "error") -> list:
-    """String indexers fitted on all of ``df`` (most frequent label first, ties
-    alphabetical).  ``handle_invalid='keep'`` maps labels unseen at fit time to
-    one extra index (and so adds one one-hot slot); the default fails on them."""
-    return [StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid=handle_invalid).fit(df)
-            for c in categorical]
+    """String indexers fitted on all of ``df`` in one pass (one multi-column
+    indexer; most frequent label first, ties alphabetical).
+    ``handle_invalid='keep'`` maps labels unseen at fit time to one extra index
+    (and so adds one one-hot slot); the default fails on them."""
+    if not categorical:
+        return []
+    return [StringIndexer(inputCols=list(categorical),
+                          outputCols=[f"{c}_index" for c in categorical],
+                          handleInvalid=handle_invalid).fit(df)]
 
 
 def feature_stages(df: DataFrame, label: str = ML_LABEL, categorical=ML_CATEGORICAL,

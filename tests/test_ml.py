@@ -50,7 +50,7 @@ def test_imputer_mean_truncates_int(spark):
 def test_string_index_order_and_one_hot_drop_last(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("c",), ("a",)], "v string")
     (ix,) = ml.fit_indexers(df, ["v"])
-    assert list(ix.labels) == ["a", "b", "c"]   # tie a/b by name, then c
+    assert list(ix.labelsArray[0]) == ["a", "b", "c"]   # tie a/b by name, then c
 
 
 def test_train_evaluate_save_list_load(spark, tmp_dir):
