@@ -626,7 +626,7 @@ def q_csv_folder_columns(spark, d):
     path = write_csv(
         read_incidents(spark, write_incident_landing(spark, d))
         .select("BARRI", F.col("raw11").alias("DISTRICTE")),
-        scratch_path(spark, "iris-names"))
+        scratch_path(spark, "incident-names"))
     return read_csv_columns(spark, path, ["BARRI", "DISTRICTE"])
 
 
@@ -904,7 +904,7 @@ def q_incident_lookup_build(spark, d):
         _t(spark, d, "nation").select(F.col("n_nationkey").alias("neighborhood_id"),
                                      F.col("n_name").alias("neighborhood_name"),
                                      F.col("n_regionkey").alias("district_id")))
-    path = write_single_csv(lk, scratch_path(spark, "lookup-iris-new"))
+    path = write_single_csv(lk, scratch_path(spark, "incident-lookup-new"))
     return spark.read.option("header", True).schema(INCIDENT_LOOKUP_DDL).csv(path)
 
 

@@ -35,7 +35,7 @@ class Landing:
 
 
 # Formatted-zone table names (folders below the formatted root).
-INCOME, RENT, INCIDENTS, NEIGHBORHOODS = "income", "rent", "iris", "neighborhoods"
+INCOME, RENT, INCIDENTS, NEIGHBORHOODS = "income", "rent", "incidents", "neighborhoods"
 
 
 def run_formatted_zone(spark: SparkSession, landing: Landing, formatted_root: str,
@@ -47,7 +47,7 @@ def run_formatted_zone(spark: SparkSession, landing: Landing, formatted_root: st
     root = formatted_root.rstrip("/")
     lk_income = income_lookup(spark, landing.income_districts, landing.income_neighborhoods)
     lk_rent = rent_lookup(spark, landing.rent_districts, landing.rent_neighborhoods)
-    lk_iris = incident_lookup(spark, landing.incident_lookup, naive_split=landing.naive_csv)
+    lk_incidents = incident_lookup(spark, landing.incident_lookup, naive_split=landing.naive_csv)
     out = {
         INCOME: write_parquet(format_income(read_income(spark, landing.income), lk_income,
                                             on_unmatched), f"{root}/{INCOME}"),
@@ -55,8 +55,8 @@ def run_formatted_zone(spark: SparkSession, landing: Landing, formatted_root: st
                             f"{root}/{RENT}", partition_by=["year", "month"]),
         INCIDENTS: write_parquet(format_incidents(read_incidents(spark, landing.incidents,
                                                                  landing.naive_csv),
-                                                  lk_iris, on_unmatched), f"{root}/{INCIDENTS}"),
-        NEIGHBORHOODS: write_parquet(neighborhood_dim(lk_income, lk_iris, lk_rent),
+                                                  lk_incidents, on_unmatched), f"{root}/{INCIDENTS}"),
+        NEIGHBORHOODS: write_parquet(neighborhood_dim(lk_income, lk_incidents, lk_rent),
                                      f"{root}/{NEIGHBORHOODS}"),
     }
     return out
@@ -67,10 +67,10 @@ def exploitation_tables(spark: SparkSession, formatted_root: str) -> dict[str, D
     root = formatted_root.rstrip("/")
     income = spark.read.parquet(f"{root}/{INCOME}")
     rent = spark.read.parquet(f"{root}/{RENT}").select("neighborhoodId", "year", "month", "day", "price")
-    iris = spark.read.parquet(f"{root}/{INCIDENTS}")
+    incidents = spark.read.parquet(f"{root}/{INCIDENTS}")
     return {
         "AVGIND": avg_indicators(income, rent),
-        "LISTINGIND": listing_indicators(iris, rent),
+        "LISTINGIND": listing_indicators(incidents, rent),
         "POPULATION": population(income),
         "NEIGHBORHOODS": spark.read.parquet(f"{root}/{NEIGHBORHOODS}"),
     }

@@ -44,7 +44,7 @@ def lookups(spark, tmp_dir):
               {"_id": "N2", "ne": "Gotic", "ne_n": "gotic", "ne_re": "Gòtic"}]
     write_lines(f"{tmp_dir}/rent_d", "d.json", [json.dumps(x, ensure_ascii=False) for x in rdist])
     write_lines(f"{tmp_dir}/rent_n", "n.json", [json.dumps(x, ensure_ascii=False) for x in rneigh])
-    write_lines(f"{tmp_dir}/iris_lk", "lk.csv", [
+    write_lines(f"{tmp_dir}/incident_lk", "lk.csv", [
         "neighborhood_id,neighborhood_n_reconciled,neighborhood,district_id,district_n_reconciled,district",
         "N1,El Raval,el Raval,D1,Ciutat Vella,Ciutat Vella",
         'N2,"Gòtic, el, Barcelona",el Barri Gòtic,D1,Ciutat Vella,Ciutat Vella',
@@ -54,8 +54,8 @@ def lookups(spark, tmp_dir):
     return {
         "income": income_lookup(spark, f"{tmp_dir}/inc_d", f"{tmp_dir}/inc_n"),
         "rent": rent_lookup(spark, f"{tmp_dir}/rent_d", f"{tmp_dir}/rent_n"),
-        "iris": incident_lookup(spark, f"{tmp_dir}/iris_lk"),
-        "iris_naive": incident_lookup(spark, f"{tmp_dir}/iris_lk", naive_split=True),
+        "incidents": incident_lookup(spark, f"{tmp_dir}/incident_lk"),
+        "incidents_naive": incident_lookup(spark, f"{tmp_dir}/incident_lk", naive_split=True),
     }
 
 
@@ -88,8 +88,8 @@ def test_rent_formatter(spark, tmp_dir, lookups):
     df = spark.createDataFrame(rows_in, "propertyCode string, neighborhood string, price double")
     df = df.withColumn("detailedType", F.struct(F.lit("flat").alias("typology"),
                                                 F.lit(None).cast("string").alias("subTypology")))
-    df.write.parquet(f"{tmp_dir}/rent/2020_01_05_idealista")
-    df.where("propertyCode = 'p1'").write.parquet(f"{tmp_dir}/rent/2021_02_07_idealista")
+    df.write.parquet(f"{tmp_dir}/rent/2020_01_05_listings")
+    df.where("propertyCode = 'p1'").write.parquet(f"{tmp_dir}/rent/2021_02_07_listings")
     raw = read_rent(spark, f"{tmp_dir}/rent")
     assert len(raw.columns) == 40
     out = format_rent(raw, lookups["rent"])
@@ -110,7 +110,7 @@ def incident_line(fid, typ, name, day="05", n=25):
 
 
 def test_incident_formatter(spark, tmp_dir, lookups):
-    path = f"{tmp_dir}/iris"
+    path = f"{tmp_dir}/incidents"
     write_lines(path, "a.csv", [
         INCIDENT_HEADER,
         incident_line("1", "INCIDENCIA", "el Raval"),
@@ -121,27 +121,27 @@ def test_incident_formatter(spark, tmp_dir, lookups):
         incident_line("5", "INCIDENCIA", "la Salut", n=26),    # long row
     ])
     write_lines(path, "b.csv", [INCIDENT_HEADER, incident_line("6", "INCIDENCIA", "la Salut")])
-    out = format_incidents(read_incidents(spark, path), lookups["iris"])
+    out = format_incidents(read_incidents(spark, path), lookups["incidents"])
     assert out.columns[0] == "neighborhoodID" and len(out.columns) == 22
     assert "BARRI" not in out.columns and "raw11" not in out.columns
     assert rows(out, "fitxaID", "neighborhoodID") == [("1", "N1"), ("2", "N2"), ("6", "N3")]
-    naive = format_incidents(read_incidents(spark, path, naive_split=True), lookups["iris_naive"])
+    naive = format_incidents(read_incidents(spark, path, naive_split=True), lookups["incidents_naive"])
     assert rows(naive, "fitxaID", "neighborhoodID") == [("1", "N1"), ("2", "N2"), ("6", "N3")]
 
 
 def test_incident_lookup_dialects(spark, lookups):
     # real CSV parsing keeps the row with two quoted commas; the naive split
     # (patch removes only the first one) gets 7 fields and drops it
-    assert lookups["iris"].count() == 4
-    assert lookups["iris_naive"].count() == 3
-    assert lookups["iris"].columns == ["neighborhood_id", "neighborhood", "neighborhood_reconciled",
+    assert lookups["incidents"].count() == 4
+    assert lookups["incidents_naive"].count() == 3
+    assert lookups["incidents"].columns == ["neighborhood_id", "neighborhood", "neighborhood_reconciled",
                                        "district_id", "district", "district_reconciled"]
 
 
 def test_neighborhood_dimension_priority(spark, lookups):
-    dim = neighborhood_dim(lookups["income"], lookups["iris"], lookups["rent"])
+    dim = neighborhood_dim(lookups["income"], lookups["incidents"], lookups["rent"])
     got = {r["neighborhood_id"]: r["neighborhood_reconciled"] for r in dim.collect()}
     # income wins over incidents and rent; every id once
     assert got == {"N1": "El Raval", "N2": "Barri Gòtic", "N3": "La Salut"}
-    only_rent = neighborhood_dim(lookups["income"].limit(0), lookups["iris"].limit(0), lookups["rent"])
+    only_rent = neighborhood_dim(lookups["income"].limit(0), lookups["incidents"].limit(0), lookups["rent"])
     assert {r["neighborhood_reconciled"] for r in only_rent.collect()} == {"Raval, Barcelona", "Gòtic"}

@@ -15,7 +15,7 @@ def test_zones_end_to_end(spark, tmp_dir):
         rent_districts=lk["rent_districts"], rent_neighborhoods=lk["rent_neighborhoods"],
         incidents=bq.write_incident_landing(spark, SF), incident_lookup=lk["incidents"])
     out = zones.run_formatted_zone(spark, landing, f"{tmp_dir}/formatted")
-    assert set(out) == {"income", "rent", "iris", "neighborhoods"}
+    assert set(out) == {"income", "rent", "incidents", "neighborhoods"}
     rent = spark.read.parquet(out["rent"])
     assert rent.count() == bq.formatted_rent(spark, SF).count()
     t = zones.exploitation_tables(spark, f"{tmp_dir}/formatted")
