@@ -49,17 +49,17 @@ def build_session(
 def ensure_checkpoint_dir(spark: SparkSession, default: str | None = None) -> str:
     """Return the session's reliable checkpoint folder.
 
-    The folder named by ``spark.checkpoint.dir`` wins; ``default`` is used only
-    when the session names none (tests)."""
+    The folder named by ``spark.checkpoint.dir`` wins.  Only when the session
+    names none is one set: ``default`` (tests), else a folder below the SQL
+    warehouse directory, which a cluster keeps on shared storage."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None) or default
     if not configured:
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; point it at a folder every executor shares"
-        )
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        configured = f"{warehouse.rstrip('/')}/_checkpoints"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
