@@ -283,36 +283,67 @@ SELECT DISTINCT raw.*, CAST(n_nationkey AS VARCHAR) AS neighborhoodId
 FROM ({RENT_LANDING_SQL}) raw JOIN nation ON raw.neighborhood = {SPELLING}"""
 
 
+def observed_nations(spark, d, source: str) -> DataFrame:
+    """Nations whose names a source actually carries: suppliers' nations for
+    income, customers' nations for rent, line items' supplier nations for
+    incidents.  Lookups are built from what the facts reference, so building
+    them scans (and grows with) the fact tables."""
+    n = _t(spark, d, "nation")
+    su = _t(spark, d, "supplier").select("s_suppkey", "s_nationkey")
+    if source == "income":
+        keys = su.select(F.col("s_nationkey").alias("k"))
+    elif source == "rent":
+        keys = _t(spark, d, "customer").select(F.col("c_nationkey").alias("k"))
+    else:
+        li = _t(spark, d, "lineitem").select("l_suppkey")
+        keys = li.join(su, li.l_suppkey == su.s_suppkey).select(F.col("s_nationkey").alias("k"))
+    return n.join(keys, n.n_nationkey == keys.k, "left_semi")
+
+
+OBSERVED_SQL = {
+    "income": "SELECT s_nationkey FROM supplier",
+    "rent": "SELECT c_nationkey FROM customer",
+    "incidents": "SELECT s_nationkey FROM lineitem JOIN supplier ON l_suppkey = s_suppkey",
+}
+
+
 @landed
 def write_lookups(spark, d) -> dict:
     """District / neighbourhood lookups in the income and rent JSON forms and
-    the incident-lookup CSV, all derived from region and nation."""
-    n = _t(spark, d, "nation")
+    the incident-lookup CSV, each over the nations its source references."""
     r = _t(spark, d, "region")
-    # district -> its neighbourhood ids; the nation dimension bounds each array.
-    members = n.groupBy("n_regionkey").agg(
-        F.sort_array(F.collect_list(F.col("n_nationkey").cast("string"))).alias("ids"))
-    dist = r.join(members, r.r_regionkey == members.n_regionkey, "left")
     spelling = F.replace("n_name", F.lit("_"), F.lit(" "))
     quoted = F.concat(F.lit('"'), F.col("n_name"), F.lit('"'))
+
+    def districts(nations):
+        # district -> its neighbourhood ids; the nation dimension bounds each array.
+        members = nations.groupBy("n_regionkey").agg(
+            F.sort_array(F.collect_list(F.col("n_nationkey").cast("string"))).alias("ids"))
+        return r.join(members, r.r_regionkey == members.n_regionkey)
+
     out = {"income_districts": scratch_path(spark, "lk-income-districts"),
            "income_neighborhoods": scratch_path(spark, "lk-income-neighborhoods"),
            "rent_districts": scratch_path(spark, "lk-rent-districts"),
            "rent_neighborhoods": scratch_path(spark, "lk-rent-neighborhoods"),
            "incidents": scratch_path(spark, "lk-incidents")}
-    dist.select(F.col("r_regionkey").cast("string").alias("_id"), F.col("r_name").alias("district"),
-                F.lower("r_name").alias("district_name"), F.col("r_name").alias("district_reconciled"),
-                F.col("ids").alias("neighborhood_id")).write.json(out["income_districts"])
-    n.select(F.col("n_nationkey").cast("string").alias("_id"), spelling.alias("neighborhood"),
-             F.lower(spelling).alias("neighborhood_name"),
-             quoted.alias("neighborhood_reconciled")).write.json(out["income_neighborhoods"])
-    dist.select(F.col("r_regionkey").cast("string").alias("_id"), F.col("r_name").alias("di"),
-                F.lower("r_name").alias("di_n"), F.lower("r_name").alias("di_re"),
-                F.col("ids").alias("ne_id")).write.json(out["rent_districts"])
-    n.select(F.col("n_nationkey").cast("string").alias("_id"), spelling.alias("ne"),
-             F.lower(spelling).alias("ne_n"), F.lower("n_name").alias("ne_re")
-             ).write.json(out["rent_neighborhoods"])
-    g = n.join(r, n.n_regionkey == r.r_regionkey)
+    inc = observed_nations(spark, d, "income")
+    districts(inc).select(
+        F.col("r_regionkey").cast("string").alias("_id"), F.col("r_name").alias("district"),
+        F.lower("r_name").alias("district_name"), F.col("r_name").alias("district_reconciled"),
+        F.col("ids").alias("neighborhood_id")).write.json(out["income_districts"])
+    inc.select(F.col("n_nationkey").cast("string").alias("_id"), spelling.alias("neighborhood"),
+               F.lower(spelling).alias("neighborhood_name"),
+               quoted.alias("neighborhood_reconciled")).write.json(out["income_neighborhoods"])
+    rent = observed_nations(spark, d, "rent")
+    districts(rent).select(
+        F.col("r_regionkey").cast("string").alias("_id"), F.col("r_name").alias("di"),
+        F.lower("r_name").alias("di_n"), F.lower("r_name").alias("di_re"),
+        F.col("ids").alias("ne_id")).write.json(out["rent_districts"])
+    rent.select(F.col("n_nationkey").cast("string").alias("_id"), spelling.alias("ne"),
+                F.lower(spelling).alias("ne_n"), F.lower("n_name").alias("ne_re")
+                ).write.json(out["rent_neighborhoods"])
+    g = observed_nations(spark, d, "incidents")
+    g = g.join(r, g.n_regionkey == r.r_regionkey)
     write_csv(g.select(F.col("n_nationkey").cast("string").alias("neighborhood_id"),
                        F.lower(spelling).alias("neighborhood_n_reconciled"),
                        spelling.alias("neighborhood"),
@@ -515,13 +546,13 @@ NEIGHBORHOOD_DIM_SQL = f"""
 WITH six AS (
   SELECT 0 AS src, CAST(n_nationkey AS VARCHAR) AS neighborhood_id, n_name AS neighborhood_reconciled,
          CAST(r_regionkey AS VARCHAR) AS district_id, r_name AS district_reconciled
-  FROM nation JOIN region ON n_regionkey = r_regionkey
+  FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey IN ({OBSERVED_SQL['income']})
   UNION ALL
   SELECT 1, CAST(n_nationkey AS VARCHAR), lower({SPELLING}), CAST(r_regionkey AS VARCHAR), lower(r_name)
-  FROM nation JOIN region ON n_regionkey = r_regionkey
+  FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey IN ({OBSERVED_SQL['incidents']})
   UNION ALL
   SELECT 2, CAST(n_nationkey AS VARCHAR), lower(n_name), CAST(r_regionkey AS VARCHAR), lower(r_name)
-  FROM nation JOIN region ON n_regionkey = r_regionkey),
+  FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey IN ({OBSERVED_SQL['rent']})),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY neighborhood_id
             ORDER BY src, neighborhood_reconciled, district_id, district_reconciled) AS rn FROM six)
@@ -759,7 +790,8 @@ SELECT CAST(n_nationkey AS VARCHAR) AS neighborhood_id, {SPELLING} AS neighborho
        lower({SPELLING}) AS neighborhood_name, n_name AS neighborhood_reconciled,
        CAST(r_regionkey AS VARCHAR) AS district_id, r_name AS district, lower(r_name) AS district_name,
        r_name AS district_reconciled
-FROM nation JOIN region ON n_regionkey = r_regionkey""")
+FROM nation JOIN region ON n_regionkey = r_regionkey
+WHERE n_nationkey IN ({OBSERVED_SQL['income']})""")
 def q_build_lookup(spark, d):
     lk = write_lookups(spark, d)
     return income_lookup(spark, lk["income_districts"], lk["income_neighborhoods"])
