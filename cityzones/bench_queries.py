@@ -542,6 +542,21 @@ def q_format_incidents(spark, d):
     return format_incidents(raw, incident_lookup(spark, lk["incidents"]))
 
 
+# The parity reader splits on commas: empty fields stay '' instead of null.
+FORMATTED_INCIDENTS_NAIVE_SQL = f"""
+SELECT DISTINCT CAST(n_nationkey AS VARCHAR) AS neighborhoodID,
+       {', '.join(f"coalesce(raw.{f}, '') AS {f}" for f in _INCIDENT_KEPT)}
+FROM ({INCIDENT_LANDING_SQL}) raw JOIN nation ON raw.BARRI = {SPELLING}
+WHERE raw.BARRI <> ''"""
+
+
+@query("format_incidents_naive", sql=FORMATTED_INCIDENTS_NAIVE_SQL)
+def q_format_incidents_naive(spark, d):
+    lk = write_lookups(spark, d)
+    raw = read_incidents(spark, write_incident_landing(spark, d), naive_split=True)
+    return format_incidents(raw, incident_lookup(spark, lk["incidents"], naive_split=True))
+
+
 NEIGHBORHOOD_DIM_SQL = f"""
 WITH six AS (
   SELECT 0 AS src, CAST(n_nationkey AS VARCHAR) AS neighborhood_id, n_name AS neighborhood_reconciled,
@@ -643,6 +658,18 @@ def q_scan_csv_typed(spark, d):
     return ml_plan.load_dataset(spark, path, infer=False, drop_nulls=False)
 
 
+# Type inference turns all-digit text (ids, counts, distance) into int.
+@query("scan_csv_inferred", sql=f"""
+SELECT CAST(neighborhoodId AS INTEGER) AS neighborhoodId, year, CAST(bathrooms AS INTEGER) AS bathrooms,
+       CAST(rooms AS INTEGER) AS rooms, country, CAST(distance AS INTEGER) AS distance, district,
+       exterior, hasLift, municipality, newDevelopment, price, newDevelopmentFinished, priceByArea,
+       propertyType, size, RFD
+FROM ({ML_DATASET_SQL}) t""")
+def q_scan_csv_inferred(spark, d):
+    path = write_csv(dataset(spark, d), scratch_path(spark, "rentdataset-csv-inferred"))
+    return ml_plan.load_dataset(spark, path, infer=True, drop_nulls=True)
+
+
 @query("sink_parquet_roundtrip", sql=FORMATTED_INCOME_SQL)
 def q_sink_parquet_roundtrip(spark, d):
     path = write_parquet(formatted_income(spark, d), scratch_path(spark, "income-parquet"))
