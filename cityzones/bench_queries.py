@@ -27,7 +27,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityzones.functions.checks import require_not_null
 from cityzones.functions.text import (
     ACCENTED,
     UNACCENTED,
@@ -43,17 +42,16 @@ from cityzones.operators.filters import drop_incomplete, equals, field_count_is,
 from cityzones.operators.generators import explode_structs, explode_values
 from cityzones.operators.partitioning import repartition_by_key
 from cityzones.operators.projections import drop_columns, flatten_structs, select_renamed
-from cityzones.operators.reconcile import build_lookup, reconcile, reconcile_names, unmatched_keys
+from cityzones.operators.reconcile import reconcile, reconcile_names, unmatched_keys
 from cityzones.operators.sets import dedupe, union_all
 from cityzones.plans import ml as ml_plan
 from cityzones.plans.formatters import format_incidents, format_income, format_rent, neighborhood_dim
 from cityzones.plans.indicators import avg_indicators, listing_indicators, population
 from cityzones.plans.ml_dataset import ml_dataset
-from cityzones.schemas import INCIDENT_FIELDS, RENT_DDL, field_names
+from cityzones.schemas import INCIDENT_FIELDS, RENT_DDL, fields
 from cityzones.session import scratch_path
 from cityzones.sources.files import (
     read_csv,
-    read_csv_strict,
     read_incidents,
     read_income,
     read_json_lines,
@@ -242,16 +240,7 @@ _DUCK_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "boolean": "BOOLEAN", "d
 def _rent_flat_columns() -> list[tuple[str, str]]:
     """(flattened name, type) of the 37 listing fields, structs flattened."""
     out = []
-    body = RENT_DDL
-    parts, depth, start = [], 0, 0
-    for i, ch in enumerate(body + ","):
-        depth += ch == "<"
-        depth -= ch == ">"
-        if ch == "," and depth == 0:
-            parts.append(body[start:i].strip())
-            start = i + 1
-    for p in parts:
-        name, typ = p.split(" ", 1)
+    for name, typ in fields(RENT_DDL):
         if typ.startswith("struct<"):
             for sub in typ[len("struct<"):-1].split(","):
                 sn, st = sub.strip().split(":")

@@ -7,29 +7,10 @@ from pyspark.sql import functions as F
 
 from cityzones.functions.checks import require_not_null
 from cityzones.operators.joins import DEFAULT_BROADCAST_ROWS, join_small
-from cityzones.schemas import ML_DATASET_DDL, ML_DATASET_COLUMNS, field_names
+from cityzones.schemas import ML_DATASET_COLUMNS, ML_DATASET_DDL, fields
 
 
-def _types(ddl: str) -> dict[str, str]:
-    out = {}
-    for part, name in zip(_split_top(ddl), field_names(ddl)):
-        t = part.strip().split(" ", 1)[1].replace(" not null", "").strip()
-        out[name] = t
-    return out
-
-
-def _split_top(ddl: str) -> list[str]:
-    parts, depth, start = [], 0, 0
-    for i, ch in enumerate(ddl + ","):
-        depth += ch == "<"
-        depth -= ch == ">"
-        if ch == "," and depth == 0:
-            parts.append(ddl[start:i])
-            start = i + 1
-    return parts
-
-
-ML_TYPES = _types(ML_DATASET_DDL)
+ML_TYPES = dict(fields(ML_DATASET_DDL))
 
 
 def ml_dataset(rent: DataFrame, income: DataFrame,

@@ -99,18 +99,29 @@ ML_LABEL = "price"
 ML_EXCLUDED = ["year"]
 
 
-def field_names(ddl: str) -> list[str]:
-    """Top-level field names of a DDL string (no session needed)."""
-    names, depth, start = [], 0, 0
+def fields(ddl: str) -> list[tuple[str, str]]:
+    """Top-level ``(name, type)`` pairs of a DDL string (no session needed);
+    ``not null`` is dropped from the type."""
+    out, depth, start = [], 0, 0
     for i, ch in enumerate(ddl + ","):
         if ch == "<":
             depth += 1
         elif ch == ">":
             depth -= 1
         elif ch == "," and depth == 0:
-            names.append(ddl[start:i].strip().split(" ", 1)[0].strip("`"))
+            part = ddl[start:i].strip()
+            if part.startswith("`"):
+                name, rest = part[1:].split("`", 1)
+            else:
+                name, rest = part.split(" ", 1)
+            out.append((name, rest.strip().replace(" not null", "")))
             start = i + 1
-    return names
+    return out
+
+
+def field_names(ddl: str) -> list[str]:
+    """Top-level field names of a DDL string (no session needed)."""
+    return [n for n, _ in fields(ddl)]
 
 
 def struct(ddl: str) -> StructType:

@@ -12,6 +12,7 @@ from cityzones.schemas import (
     INCOME_RAW_DDL,
     INCOME_RAW_NAME_KEY,
     RENT_DDL,
+    field_names,
 )
 
 # Snapshot folders are named YYYY_MM_DD_<anything> (optionally as the value
@@ -43,7 +44,7 @@ def read_snapshots(spark: SparkSession, root: str, schema: str) -> DataFrame:
     plus the snapshot date as int year / month / day columns."""
     df = (spark.read.schema(schema).option("recursiveFileLookup", "false")
           .parquet(f"{root.rstrip('/')}/*/part-*"))
-    cols = [c for c in df.columns if c in set(_names(schema))]
+    cols = [c for c in df.columns if c in set(field_names(schema))]
     with_path = df.select(*cols, F.col("_metadata.file_path").alias("_path"))
     return path_date_columns(with_path).drop("_path")
 
@@ -108,7 +109,3 @@ def read_csv_columns(spark: SparkSession, folder: str, columns: list[str]) -> Da
           .csv(folder))
     return df.select(*columns)
 
-
-def _names(ddl: str) -> list[str]:
-    from cityzones.schemas import field_names
-    return field_names(ddl)
