@@ -39,19 +39,22 @@ def path_date_columns(df: DataFrame, path_col: str = "_path") -> DataFrame:
     return df.withColumns(parts)
 
 
-def read_snapshots(spark: SparkSession, root: str, schema: str) -> DataFrame:
+def read_snapshots(spark: SparkSession, root: str, schema: str, folders: str = "*") -> DataFrame:
     """Every ``root/<YYYY_MM_DD_*>/part-*`` file in one scan with ``schema``,
-    plus the snapshot date as int year / month / day columns."""
+    plus the snapshot date as int year / month / day columns.
+
+    ``folders`` is a glob over the snapshot folder names (e.g. ``2021_0[1-6]_*``
+    or ``{2021_06_*,2021_07_*}``): only matching folders are listed and read."""
     df = (spark.read.schema(schema).option("recursiveFileLookup", "false")
-          .parquet(f"{root.rstrip('/')}/*/part-*"))
+          .parquet(f"{root.rstrip('/')}/{folders}/part-*"))
     cols = [c for c in df.columns if c in set(field_names(schema))]
     with_path = df.select(*cols, F.col("_metadata.file_path").alias("_path"))
     return path_date_columns(with_path).drop("_path")
 
 
-def read_rent(spark: SparkSession, root: str) -> DataFrame:
+def read_rent(spark: SparkSession, root: str, folders: str = "*") -> DataFrame:
     """Raw rent listings: the 37 listing fields + year, month, day."""
-    return read_snapshots(spark, root, RENT_DDL)
+    return read_snapshots(spark, root, RENT_DDL, folders)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | None = None, header: bool = True,

@@ -98,6 +98,8 @@ def test_rent_formatter(spark, tmp_dir, lookups):
     assert got == [("p1", 2020, 1, 5, "N1", 1000.0), ("p1", 2021, 2, 7, "N1", 1000.0),
                    ("p4", 2020, 1, 5, "N2", 700.0)]
     assert out.first()["detailedType"]["typology"] == "flat"
+    only_2021 = read_rent(spark, f"{tmp_dir}/rent", folders="2021_*")
+    assert rows(only_2021, "propertyCode", "year") == [("p1", 2021), ("p1", 2021)]  # raw, not deduped
 
 
 INCIDENT_HEADER = ",".join(f"h{i}" for i in range(25))
