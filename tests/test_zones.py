@@ -29,3 +29,27 @@ def test_zones_end_to_end(spark, tmp_dir):
     assert path.endswith("forest_v20240101000000") and rmse > 0
     chosen, rmse2 = zones.run_prediction(spark, ds, f"{tmp_dir}/models", seed=1)
     assert chosen == path and rmse2 == rmse
+
+
+def test_cli_dataset_and_predict(spark, tmp_dir, capsys):
+    import json
+
+    from cityzones.__main__ import main
+    lk = bq.write_lookups(spark, SF)
+    landing = {
+        "income": bq.write_income_landing(spark, SF),
+        "income_districts": lk["income_districts"], "income_neighborhoods": lk["income_neighborhoods"],
+        "rent_root": bq.write_rent_landing(spark, SF),
+        "rent_districts": lk["rent_districts"], "rent_neighborhoods": lk["rent_neighborhoods"],
+        "incidents": bq.write_incident_landing(spark, SF), "incident_lookup": lk["incidents"]}
+    cfg = f"{tmp_dir}/landing.json"
+    import os
+    os.makedirs(cfg.replace("file:", "").rsplit("/", 1)[0], exist_ok=True)
+    with open(cfg.replace("file:", ""), "w") as fh:
+        json.dump(landing, fh)
+    main(["format", "--landing", cfg.replace("file:", ""), "--formatted", f"{tmp_dir}/f"])
+    main(["dataset", "--formatted", f"{tmp_dir}/f", "--out", f"{tmp_dir}/ds"])
+    main(["train", "--dataset", f"{tmp_dir}/ds", "--model-base", f"{tmp_dir}/m/forest", "--seed", "2"])
+    main(["predict", "--dataset", f"{tmp_dir}/ds", "--models", f"{tmp_dir}/m", "--seed", "2"])
+    out = [json.loads(line) for line in capsys.readouterr().out.strip().splitlines()[-2:]]
+    assert out[0]["model"] == out[1]["model"] and out[0]["rmse"] == out[1]["rmse"]
