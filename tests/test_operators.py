@@ -178,3 +178,39 @@ def test_reconcile_names_matches_brute_force(spark):
         cands = sorted((lev(q, w), i) for i, w in enumerate(words) if lev(q, w) <= 2)
         want = (cands[0][1], cands[0][0]) if cands else (None, None)
         assert got[q] == want, q
+
+
+def _lev(a, b):
+    prev = list(range(len(b) + 1))
+    for i, ca in enumerate(a, 1):
+        cur = [i]
+        for j, cb in enumerate(b, 1):
+            cur.append(min(prev[j] + 1, cur[j - 1] + 1, prev[j - 1] + (ca != cb)))
+        prev = cur
+    return prev[-1]
+
+
+@pytest.mark.parametrize("k", [1, 2])
+def test_reconcile_names_random_vs_brute_force(spark, k):
+    import random
+    rnd = random.Random(20 + k)
+    alphabet = "abcd "
+
+    def word():
+        return "".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 7)))
+    canon = [(i, word(), rnd.randint(0, 2)) for i in range(60)]
+    names = [(word(), rnd.randint(0, 2)) for _ in range(300)]
+    cdf = spark.createDataFrame(canon, "id int, name string, blk int")
+    ndf = spark.createDataFrame(names, "raw string, blk int")
+    out = reconcile_names(ndf, cdf, "raw", "id", "name", parent="blk", canon_parent="blk",
+                          max_distance=k)
+    got = {(r["raw"], r["blk"]): (r["id"], r["distance"]) for r in out.collect()}
+
+    def norm(s):
+        return " ".join(s.split())
+    assert len(got) == len(set(names))
+    for raw, blk in set(names):
+        cands = sorted((_lev(norm(raw), norm(c)), i) for i, c, b in canon
+                       if b == blk and _lev(norm(raw), norm(c)) <= k)
+        want = (cands[0][1], cands[0][0]) if cands else (None, None)
+        assert got[(raw, blk)] == want, (raw, blk)
