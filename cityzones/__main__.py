@@ -1,5 +1,6 @@
 """Command line (spark-submit friendly) for the zone runs.
 
+  python -m cityzones lookup   --incidents DIR --districts JSON --neighborhoods JSON --out CSV_DIR
   python -m cityzones format   --landing landing.json --formatted ROOT
   python -m cityzones kpis     --formatted ROOT --url JDBC_URL --properties props.json
   python -m cityzones dataset  --formatted ROOT --out CSV_DIR
@@ -22,6 +23,14 @@ from cityzones.session import build_session
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="cityzones")
     sub = p.add_subparsers(dest="cmd", required=True)
+    lk = sub.add_parser("lookup")
+    lk.add_argument("--incidents", required=True)
+    lk.add_argument("--districts", required=True)
+    lk.add_argument("--neighborhoods", required=True)
+    lk.add_argument("--out", required=True)
+    lk.add_argument("--name-col", default="BARRI")
+    lk.add_argument("--district-col", default="DISTRICTE")
+    lk.add_argument("--max-distance", type=int, default=2)
     f = sub.add_parser("format")
     f.add_argument("--landing", required=True)
     f.add_argument("--formatted", required=True)
@@ -46,7 +55,10 @@ def main(argv=None) -> None:
     a = p.parse_args(argv)
 
     spark = build_session(app=f"cityzones-{a.cmd}")
-    if a.cmd == "format":
+    if a.cmd == "lookup":
+        print(zones.run_incident_lookup(spark, a.incidents, a.districts, a.neighborhoods, a.out,
+                                        a.name_col, a.district_col, a.max_distance))
+    elif a.cmd == "format":
         with open(a.landing) as fh:
             landing = zones.Landing(**json.load(fh))
         print(json.dumps(zones.run_formatted_zone(spark, landing, a.formatted, a.on_unmatched)))

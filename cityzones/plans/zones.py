@@ -10,14 +10,16 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cityzones.plans import ml as ml_plan
 from cityzones.plans.formatters import format_incidents, format_income, format_rent, neighborhood_dim
 from cityzones.plans.indicators import avg_indicators, export_indicators, listing_indicators, population
 from cityzones.plans.ml_dataset import ml_dataset
-from cityzones.sources.files import read_incidents, read_income, read_rent
+from cityzones.plans.lookup_builder import build_incident_lookup
+from cityzones.sources.files import read_csv_columns, read_incidents, read_income, read_rent
 from cityzones.sources.lookups import incident_lookup, income_lookup, rent_lookup
-from cityzones.sources.sinks import write_csv, write_parquet
+from cityzones.sources.sinks import write_csv, write_parquet, write_single_csv
 
 
 @dataclass
@@ -34,6 +36,23 @@ class Landing:
     naive_csv: bool = False
 
 
+def run_incident_lookup(spark: SparkSession, incidents_folder: str, canon_districts: str,
+                        canon_neighborhoods: str, out_csv: str, name_col: str = "BARRI",
+                        district_col: str = "DISTRICTE", max_distance: int = 2) -> str:
+    """Build the incident lookup from the raw names in the incident CSV files.
+
+    The canonical knowledge base is the income lookup (JSON lines, district and
+    neighbourhood files): ids, canonical names and each neighbourhood's
+    district.  The result is one CSV with the incident-lookup header."""
+    lk = income_lookup(spark, canon_districts, canon_neighborhoods)
+    districts = lk.select("district_id", F.col("district_reconciled").alias("district_name")).distinct()
+    neighborhoods = lk.select("neighborhood_id",
+                              F.col("neighborhood_reconciled").alias("neighborhood_name"), "district_id")
+    names = read_csv_columns(spark, incidents_folder, [name_col, district_col])
+    table = build_incident_lookup(names, districts, neighborhoods, name_col, district_col, max_distance)
+    return write_single_csv(table, out_csv)
+
+
 # Formatted-zone table names (folders below the formatted root).
 INCOME, RENT, INCIDENTS, NEIGHBORHOODS = "income", "rent", "incidents", "neighborhoods"
 

@@ -53,3 +53,19 @@ def test_cli_dataset_and_predict(spark, tmp_dir, capsys):
     main(["predict", "--dataset", f"{tmp_dir}/ds", "--models", f"{tmp_dir}/m", "--seed", "2"])
     out = [json.loads(line) for line in capsys.readouterr().out.strip().splitlines()[-2:]]
     assert out[0]["model"] == out[1]["model"] and out[0]["rmse"] == out[1]["rmse"]
+
+
+def test_incident_lookup_runner(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from cityzones.schemas import INCIDENT_LOOKUP_DDL
+    lk = bq.write_lookups(spark, SF)
+    # raw names as the incident files carry them; the district column is raw11 there
+    out = zones.run_incident_lookup(spark, bq.write_incident_landing(spark, SF),
+                                    lk["income_districts"], lk["income_neighborhoods"],
+                                    f"{tmp_dir}/lookup", district_col="raw11")
+    got = spark.read.option("header", True).schema(INCIDENT_LOOKUP_DDL).csv(out)
+    # every raw spelling "NATION n" maps to nation n, its district to the region
+    bad = got.where(F.col("neighborhood_id").isNull() |
+                    (F.concat(F.lit("NATION "), F.col("neighborhood_id")) != F.col("neighborhood")))
+    assert got.count() > 0 and bad.count() == 0
