@@ -524,6 +524,31 @@ def q_stream_format_rent(spark, d):
     return flatten_structs(spark.read.parquet(out))
 
 
+@query("stream_format_income", sql=FORMATTED_INCOME_SQL)
+def q_stream_format_income(spark, d):
+    """The income formatter run incrementally over new JSON-lines files."""
+    from cityzones.streaming import ingest_income
+    lk = write_lookups(spark, d)
+    out = scratch_path(spark, "income-formatted")
+    ingest_income(spark, write_income_landing(spark, d),
+                  income_lookup(spark, lk["income_districts"], lk["income_neighborhoods"]),
+                  out).awaitTermination()
+    return spark.read.parquet(out)
+
+
+@query("stream_format_incidents", sql=FORMATTED_INCIDENTS_SQL)
+def q_stream_format_incidents(spark, d):
+    """The incident formatter run incrementally over new CSV files; read back
+    with the declared all-string schema (partition values stay text)."""
+    from cityzones.streaming import ingest_incidents
+    lk = write_lookups(spark, d)
+    out = scratch_path(spark, "incidents-formatted")
+    ingest_incidents(spark, write_incident_landing(spark, d), incident_lookup(spark, lk["incidents"]),
+                     out).awaitTermination()
+    kept = ["neighborhoodID"] + _INCIDENT_KEPT
+    return spark.read.schema(", ".join(f"`{c}` string" for c in kept)).parquet(out).select(*kept)
+
+
 @query("format_incidents", sql=FORMATTED_INCIDENTS_SQL)
 def q_format_incidents(spark, d):
     lk = write_lookups(spark, d)

@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
-from cityzones.plans.formatters import format_rent
-from cityzones.schemas import RENT_COLUMNS, RENT_DDL
+from cityzones.plans.formatters import format_incidents, format_income, format_rent
+from cityzones.schemas import INCIDENT_FIELDS, INCOME_RAW_DDL, INCOME_RAW_NAME_KEY, RENT_COLUMNS, RENT_DDL
 from cityzones.session import scratch_path
 from cityzones.sources.files import path_date_columns
 from cityzones.sources.sinks import write_parquet
@@ -90,3 +90,28 @@ def ingest_rent(spark: SparkSession, landing_root: str, lookup: DataFrame, out_p
     stream = rent_landing_stream(spark, landing_root, max_files_per_trigger)
     return run_incremental(stream, lambda df: format_rent(df, lookup), out_path,
                            ["year", "month", "day"], checkpoint_location, available_now)
+
+
+def ingest_income(spark: SparkSession, landing_path: str, lookup: DataFrame, out_path: str,
+                  checkpoint_location: str | None = None, available_now: bool = True,
+                  on_unmatched: str = "error") -> StreamingQuery:
+    """Formatted income table kept up to date from new JSON-lines files,
+    partitioned by year."""
+    stream = (spark.readStream.schema(INCOME_RAW_DDL).json(landing_path)
+              .withColumnRenamed(INCOME_RAW_NAME_KEY, "neigh_name"))
+    return run_incremental(stream, lambda df: format_income(df, lookup, on_unmatched), out_path,
+                           ["year"], checkpoint_location, available_now)
+
+
+def ingest_incidents(spark: SparkSession, landing_path: str, lookup: DataFrame, out_path: str,
+                     checkpoint_location: str | None = None, available_now: bool = True,
+                     on_unmatched: str = "error") -> StreamingQuery:
+    """Formatted incident table kept up to date from new CSV files (header per
+    file, rows with a wrong field count dropped), partitioned by the opening
+    year text."""
+    ddl = ", ".join(f"`{f}` string" for f in INCIDENT_FIELDS) + ", _corrupt string"
+    stream = (spark.readStream.schema(ddl).option("header", True)
+              .option("columnNameOfCorruptRecord", "_corrupt").csv(landing_path)
+              .where(F.col("_corrupt").isNull()).drop("_corrupt"))
+    return run_incremental(stream, lambda df: format_incidents(df, lookup, on_unmatched), out_path,
+                           ["anyDataAlta"], checkpoint_location, available_now)

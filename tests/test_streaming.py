@@ -22,3 +22,25 @@ def test_incremental_rent_ingestion_is_idempotent(spark, tmp_dir):
     # nothing new: a rerun adds nothing
     ingest_rent(spark, landing, lookup, out, ckpt).awaitTermination()
     assert spark.read.parquet(out).count() == 3
+
+
+def test_incremental_income_and_incidents(spark, tmp_dir):
+    from cityzones import bench_queries as bq
+    from cityzones.plans.formatters import format_incidents, format_income
+    from cityzones.sources.files import read_incidents, read_income
+    from cityzones.sources.lookups import incident_lookup, income_lookup
+    from cityzones.streaming import ingest_incidents, ingest_income
+    sf = "/root/testdata/sf0.001"
+    lk = bq.write_lookups(spark, sf)
+    inc_lk = income_lookup(spark, lk["income_districts"], lk["income_neighborhoods"])
+    income_landing = bq.write_income_landing(spark, sf)
+    ingest_income(spark, income_landing, inc_lk, f"{tmp_dir}/income").awaitTermination()
+    want = format_income(read_income(spark, income_landing), inc_lk)
+    got = spark.read.parquet(f"{tmp_dir}/income").select(*want.columns)
+    assert rows(got) == rows(want)
+    ir_lk = incident_lookup(spark, lk["incidents"])
+    incident_landing = bq.write_incident_landing(spark, sf)
+    ingest_incidents(spark, incident_landing, ir_lk, f"{tmp_dir}/incidents").awaitTermination()
+    want = format_incidents(read_incidents(spark, incident_landing), ir_lk)
+    got = spark.read.parquet(f"{tmp_dir}/incidents").select(*want.columns)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
