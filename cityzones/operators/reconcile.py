@@ -53,7 +53,8 @@ def reconcile(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str = "nei
     on_unmatched: ``error`` fails the job at the first row without a spelling
     (raised from inside the id column); ``drop`` removes such rows (inner
     join); ``keep`` keeps them with a null id.  The lookup is broadcast after
-    a bounded size check, else joined by salted shuffle."""
+    a bounded size check, else joined by a shuffle join that splits hot keys
+    (``operators.joins.skew_join``)."""
     if on_unmatched not in POLICIES:
         raise ValueError(f"on_unmatched must be one of {POLICIES}")
     lk = lookup.select(F.col(lookup_key).alias("_lk_key"), F.col(lookup_id).alias("_lk_id"),

@@ -18,7 +18,8 @@ def ml_dataset(rent: DataFrame, income: DataFrame,
     """Join every listing to the income of its neighbourhood in the same year.
 
     Both keys are join keys (no per-neighbourhood fan-out over all years).
-    The income side is broadcast after a bounded size check, else salted.
+    The income side is broadcast after a bounded size check, else joined by
+    a shuffle join that splits hot neighbourhoods (``skew_join``).
     Output: the 17 typed dataset columns; neighbourhood id and year must not
     be null (the job fails otherwise)."""
     listing_cols = [c for c in ML_DATASET_COLUMNS if c != "RFD"]

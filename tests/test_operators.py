@@ -128,6 +128,11 @@ def test_reconcile_policies(spark):
         reconcile(df, lk, "name", on_unmatched="error").collect()
     assert reconcile(df.limit(2).where("v < 3"), lk, "name").count() == 2
     assert rows(unmatched_keys(df, lk, "name")) == [("Nowhere", 1)]
+    # the same through the shuffle path (lookup above the broadcast bound)
+    for policy in ("keep", "drop"):
+        a = reconcile(df, lk, "name", on_unmatched=policy)
+        b = reconcile(df, lk, "name", on_unmatched=policy, max_broadcast_rows=1)
+        assert rows(a) == rows(b) and b.columns == a.columns
     with pytest.raises(ValueError):
         reconcile(df, lk, "name", on_unmatched="ignore")
 
