@@ -81,12 +81,20 @@ def run_formatted_zone(spark: SparkSession, landing: Landing, formatted_root: st
     return out
 
 
-def exploitation_tables(spark: SparkSession, formatted_root: str) -> dict[str, DataFrame]:
-    """The four indicator tables, keyed by their database table names."""
+def exploitation_tables(spark: SparkSession, formatted_root: str,
+                        years: list[int] | None = None) -> dict[str, DataFrame]:
+    """The four indicator tables, keyed by their database table names.
+
+    ``years`` restricts every indicator to those years; on the rent table
+    (partitioned by year / month) the filter prunes folders."""
     root = formatted_root.rstrip("/")
     income = spark.read.parquet(f"{root}/{INCOME}")
     rent = spark.read.parquet(f"{root}/{RENT}").select("neighborhoodId", "year", "month", "day", "price")
     incidents = spark.read.parquet(f"{root}/{INCIDENTS}")
+    if years:
+        income = income.where(F.col("year").isin(list(years)))
+        rent = rent.where(F.col("year").isin(list(years)))
+        incidents = incidents.where(F.col("anyDataAlta").isin([str(y) for y in years]))
     return {
         "AVGIND": avg_indicators(income, rent),
         "LISTINGIND": listing_indicators(incidents, rent),
@@ -96,9 +104,9 @@ def exploitation_tables(spark: SparkSession, formatted_root: str) -> dict[str, D
 
 
 def run_exploitation_zone(spark: SparkSession, formatted_root: str, url: str, properties: dict,
-                          mode: str = "overwrite") -> None:
+                          mode: str = "overwrite", years: list[int] | None = None) -> None:
     """Write the indicator tables over JDBC (credentials in ``properties``)."""
-    tables = exploitation_tables(spark, formatted_root)
+    tables = exploitation_tables(spark, formatted_root, years)
     export_indicators(tables, url, properties, mode)
 
 

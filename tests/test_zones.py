@@ -23,6 +23,14 @@ def test_zones_end_to_end(spark, tmp_dir):
     assert t["NEIGHBORHOODS"].count() == 25
     assert t["AVGIND"].columns == ["neighborhood", "year", "avg_income", "avg_rent"]
     assert t["LISTINGIND"].count() > 0
+    one_year = zones.exploitation_tables(spark, f"{tmp_dir}/formatted", years=[1996])
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        one_year["AVGIND"].explain("formatted")
+    assert "PartitionFilters: [isnotnull(year" in buf.getvalue()
+    assert {r.year for r in one_year["AVGIND"].collect()} <= {1996}
     ds = zones.run_ml_dataset(spark, f"{tmp_dir}/formatted", f"{tmp_dir}/dataset")
     assert spark.read.option("header", True).csv(ds).count() > 0
     path, rmse = zones.run_training(spark, ds, f"{tmp_dir}/models/forest", seed=1, version="20240101000000")
