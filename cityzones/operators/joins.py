@@ -1,8 +1,8 @@
 """Join strategies for a large fact side against a smaller side.
 
 * ``bounded_broadcast`` broadcasts only after proving the row-count bound
-  with a bounded count (``limit(n + 1).count()``), so what is broadcast
-  cannot grow with the data unnoticed.
+  with a bounded probe (at most n + 1 rows read, scanning stops early), so
+  what is broadcast cannot grow with the data unnoticed.
 * Beyond the bound, ``skew_join`` shuffles both sides but splits hot keys.
   An exact per-key count of the large side (key columns only, combined
   map-side) finds every key holding more than ``rows_per_task`` rows.  Such
@@ -28,8 +28,14 @@ DEFAULT_ROWS_PER_TASK = 2_000_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    A collected limit over a constant column: Spark scans partitions
+    incrementally and stops once max_rows + 1 rows are seen, so an oversized
+    side costs a few partitions, not a full scan plus a single-partition
+    exchange (what ``limit(n).count()`` plans).  At most max_rows + 1 one-int
+    rows reach the driver."""
+    return len(df.select(F.lit(1).alias("_one")).limit(max_rows + 1).collect()) <= max_rows
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS):
