@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
+from cityzones.operators.joins import bounded_broadcast
 from cityzones.plans.formatters import format_incidents, format_income, format_rent
 from cityzones.schemas import INCIDENT_FIELDS, INCOME_RAW_DDL, INCOME_RAW_NAME_KEY, RENT_COLUMNS, RENT_DDL
 from cityzones.session import scratch_path
@@ -52,8 +53,8 @@ def append_new_rows(batch: DataFrame, out_path: str, partition_cols: list[str])
     stored = _existing(spark, out_path)
     new = batch
     if stored is not None:
-        touched = batch.select(*partition_cols).distinct()
-        stored = stored.join(F.broadcast(touched), partition_cols, "left_semi").select(*batch.columns)
+        touched, _ = bounded_broadcast(batch.select(*partition_cols).distinct())
+        stored = stored.join(touched, partition_cols, "left_semi").select(*batch.columns)
         same = reduce(lambda a, b: a & b, [batch[c].eqNullSafe(stored[c]) for c in batch.columns])
         new = batch.join(stored, same, "left_anti")
     write_parquet(new, out_path, mode="append", partition_by=partition_cols)
