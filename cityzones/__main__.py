@@ -2,7 +2,7 @@
 
   python -m cityzones lookup   --incidents DIR --districts JSON --neighborhoods JSON --out CSV_DIR
   python -m cityzones format   --landing landing.json --formatted ROOT
-  python -m cityzones kpis     --formatted ROOT --url JDBC_URL --properties props.json
+  python -m cityzones kpis     --formatted ROOT --url JDBC_URL --properties props.json [--years Y,..]
   python -m cityzones dataset  --formatted ROOT --out CSV_DIR
   python -m cityzones train    --dataset CSV_DIR --model-base BASE [--seed N]
   python -m cityzones predict  --dataset CSV_DIR --models ROOT [--name NAME]
@@ -40,6 +40,7 @@ def main(argv=None) -> None:
     k.add_argument("--url", required=True)
     k.add_argument("--properties", required=True)
     k.add_argument("--mode", default="overwrite")
+    k.add_argument("--years", help="comma list, e.g. 2020,2021 (prunes rent folders)")
     d = sub.add_parser("dataset")
     d.add_argument("--formatted", required=True)
     d.add_argument("--out", required=True)
@@ -65,7 +66,8 @@ def main(argv=None) -> None:
     elif a.cmd == "kpis":
         with open(a.properties) as fh:
             props = json.load(fh)
-        zones.run_exploitation_zone(spark, a.formatted, a.url, props, a.mode)
+        years = [int(y) for y in a.years.split(",")] if a.years else None
+        zones.run_exploitation_zone(spark, a.formatted, a.url, props, a.mode, years)
     elif a.cmd == "dataset":
         print(zones.run_ml_dataset(spark, a.formatted, a.out))
     elif a.cmd == "train":
