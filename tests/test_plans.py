@@ -63,3 +63,16 @@ def test_no_python_on_data_path(spark, name):
 def test_first_per_key_has_no_window(spark):
     p = plan(bq.QUERIES["first_per_key"](spark, SF), "simple")
     assert "Window" not in p and "partial_min" in p
+
+
+@pytest.mark.parametrize("name", ["avg_indicators", "listing_indicators", "population", "format_income",
+                                  "format_rent", "format_incidents", "format_incidents_naive",
+                                  "neighborhood_dim", "ml_dataset", "reconcile_names",
+                                  "incident_lookup_build", "first_per_key", "distinct_rows",
+                                  "unmatched_keys", "explode_structs", "explode_ids"])
+def test_no_single_partition_funnel(spark, name):
+    """No plan routes all rows through one task (single-partition exchange,
+    global sort) or gathers a group in one task (window)."""
+    p = plan(bq.QUERIES[name](spark, SF), "simple")
+    assert "Exchange SinglePartition" not in p
+    assert "Window" not in p and "rangepartitioning" not in p
