@@ -32,14 +32,25 @@ def read_income(spark: SparkSession, path: str) -> DataFrame:
         INCOME_RAW_NAME_KEY, "neigh_name")
 
 
-def path_date_columns(df: DataFrame, path_col: str = "_path") -> DataFrame:
-    """Add int ``year``, ``month``, ``day`` parsed from the snapshot folder name."""
-    date = F.split(F.regexp_extract(F.col(path_col), SNAPSHOT_DATE_PATTERN, 1), "_")
-    parts = {name: F.get(date, i).try_cast("int") for i, name in enumerate(("year", "month", "day"))}
+def path_date_columns(df: DataFrame, path_col: str = "_path", strict: bool = True) -> DataFrame:
+    """Add int ``year``, ``month``, ``day`` parsed from the snapshot folder name.
+
+    ``strict`` fails the job on a file outside a ``YYYY_MM_DD_*`` folder;
+    otherwise its dates are null."""
+    found = F.regexp_extract(F.col(path_col), SNAPSHOT_DATE_PATTERN, 1)
+    date = F.split(found, "_")
+    parts = {}
+    for i, name in enumerate(("year", "month", "day")):
+        value = F.get(date, i).try_cast("int")
+        if strict:
+            value = F.when(found == "", F.raise_error(F.concat(
+                F.lit("not in a YYYY_MM_DD_* snapshot folder: "), F.col(path_col)))).otherwise(value)
+        parts[name] = value
     return df.withColumns(parts)
 
 
-def read_snapshots(spark: SparkSession, root: str, schema: str, folders: str = "*") -> DataFrame:
+def read_snapshots(spark: SparkSession, root: str, schema: str, folders: str = "*",
+                   strict_dates: bool = True) -> DataFrame:
     """Every ``root/<YYYY_MM_DD_*>/part-*`` file in one scan with ``schema``,
     plus the snapshot date as int year / month / day columns.
 
@@ -49,7 +60,7 @@ def read_snapshots(spark: SparkSession, root: str, schema: str, folders: str = "
           .parquet(f"{root.rstrip('/')}/{folders}/part-*"))
     cols = [c for c in df.columns if c in set(field_names(schema))]
     with_path = df.select(*cols, F.col("_metadata.file_path").alias("_path"))
-    return path_date_columns(with_path).drop("_path")
+    return path_date_columns(with_path, strict=strict_dates).drop("_path")
 
 
 def read_rent(spark: SparkSession, root: str, folders: str = "*") -> DataFrame:

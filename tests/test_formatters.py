@@ -98,6 +98,13 @@ def test_rent_formatter(spark, tmp_dir, lookups):
     assert got == [("p1", 2020, 1, 5, "N1", 1000.0), ("p1", 2021, 2, 7, "N1", 1000.0),
                    ("p4", 2020, 1, 5, "N2", 700.0)]
     assert out.first()["detailedType"]["typology"] == "flat"
+    df.write.parquet(f"{tmp_dir}/rent_bad/latest")
+    with pytest.raises(Exception, match="snapshot folder"):
+        read_rent(spark, f"{tmp_dir}/rent_bad").collect()
+    from cityzones.sources.files import read_snapshots
+    from cityzones.schemas import RENT_DDL
+    lenient = read_snapshots(spark, f"{tmp_dir}/rent_bad", RENT_DDL, strict_dates=False)
+    assert {r.year for r in lenient.collect()} == {None}
     only_2021 = read_rent(spark, f"{tmp_dir}/rent", folders="2021_*")
     assert rows(only_2021, "propertyCode", "year") == [("p1", 2021), ("p1", 2021)]  # raw, not deduped
 
