@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cityzones.functions.checks import require_not_null
 from cityzones.functions.text import patch_quoted_comma, split_fields, strip_char_all
 from cityzones.schemas import (
     INCIDENT_FIELDS,
@@ -26,10 +27,18 @@ def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-def read_income(spark: SparkSession, path: str) -> DataFrame:
-    """Raw income series; the trailing-space name key is renamed ``neigh_name``."""
-    return read_json_lines(spark, path, INCOME_RAW_DDL).withColumnRenamed(
+INCOME_REQUIRED = ["_id", "neigh_name", "district_id", "district_name", "info"]
+
+
+def read_income(spark: SparkSession, path: str, require_keys: bool = True) -> DataFrame:
+    """Raw income series; the trailing-space name key is renamed ``neigh_name``.
+
+    ``require_keys`` fails the job when an object lacks one of the object-level
+    keys (the JSON reader cannot tell a missing key from a null, so a null
+    fails too); measurement fields inside ``info`` may be null."""
+    df = read_json_lines(spark, path, INCOME_RAW_DDL).withColumnRenamed(
         INCOME_RAW_NAME_KEY, "neigh_name")
+    return require_not_null(df, INCOME_REQUIRED) if require_keys else df
 
 
 def path_date_columns(df: DataFrame, path_col: str = "_path", strict: bool = True) -> DataFrame:

@@ -25,7 +25,8 @@ from cityzones.operators.joins import bounded_broadcast
 from cityzones.plans.formatters import format_incidents, format_income, format_rent
 from cityzones.schemas import INCIDENT_FIELDS, INCOME_RAW_DDL, INCOME_RAW_NAME_KEY, RENT_COLUMNS, RENT_DDL
 from cityzones.session import scratch_path
-from cityzones.sources.files import path_date_columns
+from cityzones.functions.checks import require_not_null
+from cityzones.sources.files import INCOME_REQUIRED, path_date_columns
 from cityzones.sources.sinks import write_parquet
 
 
@@ -98,8 +99,8 @@ def ingest_income(spark: SparkSession, landing_path: str, lookup: DataFrame, out
                   on_unmatched: str = "error") -> StreamingQuery:
     """Formatted income table kept up to date from new JSON-lines files,
     partitioned by year."""
-    stream = (spark.readStream.schema(INCOME_RAW_DDL).json(landing_path)
-              .withColumnRenamed(INCOME_RAW_NAME_KEY, "neigh_name"))
+    stream = require_not_null(spark.readStream.schema(INCOME_RAW_DDL).json(landing_path)
+                              .withColumnRenamed(INCOME_RAW_NAME_KEY, "neigh_name"), INCOME_REQUIRED)
     return run_incremental(stream, lambda df: format_income(df, lookup, on_unmatched), out_path,
                            ["year"], checkpoint_location, available_now)
 

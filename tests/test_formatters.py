@@ -80,6 +80,11 @@ def test_income_formatter(spark, tmp_dir, lookups):
     assert format_income(read_income(spark, bad), lookups["income"], on_unmatched="drop").count() == 0
     kept = format_income(read_income(spark, bad), lookups["income"], on_unmatched="keep").first()
     assert kept["neighborhood_id"] is None and kept["id"] is None
+    missing = write_lines(f"{tmp_dir}/income_missing", "i.json", [json.dumps(
+        {"_id": "m", "neigh_name ": "el Raval", "district_name": "x",
+         "info": [{"year": 2020, "pop": 1, "RFD": 1.0}]})])
+    with pytest.raises(Exception, match="district_id must not be null"):
+        format_income(read_income(spark, missing), lookups["income"]).collect()
 
 
 def test_rent_formatter(spark, tmp_dir, lookups):
