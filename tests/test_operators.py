@@ -219,3 +219,22 @@ def test_reconcile_names_random_vs_brute_force(spark, k):
                        if b == blk and _lev(norm(raw), norm(c)) <= k)
         want = (cands[0][1], cands[0][0]) if cands else (None, None)
         assert got[(raw, blk)] == want, (raw, blk)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_skew_join_random_vs_plain_join(spark, seed):
+    import random
+    rnd = random.Random(seed)
+    keys = [None, "a", "b", "c", "d", "e"]
+    weights = [1, 30, 5, 3, 1, 1]           # "a" is hot
+    big = spark.createDataFrame(
+        [(i, rnd.choices(keys, weights)[0], rnd.randint(0, 2)) for i in range(1500)],
+        "id int, k string, g int")
+    small = spark.createDataFrame(
+        [(rnd.choice(keys), rnd.randint(0, 2), f"v{j}") for j in range(12)],  # duplicate keys too
+        "key string, g2 int, v string")
+    per_task = rnd.choice([50, 200, 700])
+    for how in ("inner", "left"):
+        plain = big.join(small, (big.k == small.key) & (big.g == small.g2), how)
+        split = skew_join(big, small, ["k", "g"], ["key", "g2"], how, rows_per_task=per_task)
+        assert rows(plain.select("id", "v")) == rows(split.select("id", "v"))
