@@ -63,3 +63,37 @@ def export_indicators(tables: dict[str, DataFrame], url: str, properties: dict,
     """Write each ``{table_name: df}`` to the database over JDBC."""
     for name, df in tables.items():
         write_jdbc(df, url, name, properties, mode)
+
+
+def rent_daily(rent: DataFrame) -> DataFrame:
+    """Rent listings per (neighbourhood, year, month, day): price sum, priced
+    listings and all listings.  Both indicator tables can be derived from it,
+    so the rent table is scanned once; its size is neighbourhoods x days."""
+    return (rent.groupBy(F.col("neighborhoodId").alias("neighborhood"),
+                         F.col("year").cast("int").alias("year"),
+                         F.col("month").cast("int").alias("month"),
+                         F.col("day").cast("int").alias("day"))
+            .agg(F.sum("price").alias("price_sum"), F.count("price").alias("priced"),
+                 F.count(F.lit(1)).alias("count_housing")))
+
+
+def indicators_from_daily(income: DataFrame, incidents: DataFrame, daily: DataFrame,
+                          strict_ints: bool = True) -> tuple[DataFrame, DataFrame]:
+    """``(AVGIND, LISTINGIND)`` from the daily rent aggregate.  The average
+    rent is the price sum over priced listings (nulls ignored, as ``avg``)."""
+    inc = group_avg(income.select(F.col("neighborhood_id").alias("neighborhood"),
+                                  F.col("year").cast("int").alias("year"), "RFD"),
+                    ["neighborhood", "year"], "RFD", "avg_income")
+    rnt = daily.groupBy("neighborhood", "year").agg(
+        F.try_divide(F.sum("price_sum"), F.sum("priced")).alias("avg_rent"))
+    avgind = inc.join(rnt, ["neighborhood", "year"], "inner").select(*AVG_INDICATOR_COLUMNS)
+    counts = (incidents.where(F.col("type") == F.lit(INCIDENT_TYPE_INCIDENT))
+              .select(to_int("diaDataAlta", strict_ints).alias("day"),
+                      to_int("mesDataAlta", strict_ints).alias("month"),
+                      to_int("anyDataAlta", strict_ints).alias("year"),
+                      F.col("neighborhoodID").alias("neighborhood")))
+    counts = group_count(counts, ["day", "month", "year", "neighborhood"], "count_incidences")
+    listing = counts.join(daily.select("day", "month", "year", "neighborhood", "count_housing"),
+                          ["day", "month", "year", "neighborhood"], "left"
+                          ).select(*LISTING_INDICATOR_COLUMNS)
+    return avgind, listing

@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from cityzones.plans import ml as ml_plan
 from cityzones.plans.formatters import format_incidents, format_income, format_rent, neighborhood_dim
-from cityzones.plans.indicators import avg_indicators, export_indicators, listing_indicators, population
+from cityzones.plans.indicators import export_indicators, indicators_from_daily, population, rent_daily
 from cityzones.plans.ml_dataset import ml_dataset
 from cityzones.plans.lookup_builder import build_incident_lookup
 from cityzones.sources.files import read_csv_columns, read_incidents, read_income, read_rent
 from cityzones.sources.lookups import incident_lookup, income_lookup, rent_lookup
+from cityzones.session import cut_lineage
 from cityzones.sources.sinks import write_csv, write_parquet, write_single_csv
 
 
@@ -81,12 +82,9 @@ def run_formatted_zone(spark: SparkSession, landing: Landing, formatted_root: st
     return out
 
 
-def exploitation_tables(spark: SparkSession, formatted_root: str,
-                        years: list[int] | None = None) -> dict[str, DataFrame]:
-    """The four indicator tables, keyed by their database table names.
-
-    ``years`` restricts every indicator to those years; on the rent table
-    (partitioned by year / month) the filter prunes folders."""
+def formatted_tables(spark: SparkSession, formatted_root: str, years: list[int] | None = None):
+    """``(income, rent, incidents)`` of the formatted zone, restricted to
+    ``years`` when given (folder pruning on the year-partitioned rent table)."""
     root = formatted_root.rstrip("/")
     income = spark.read.parquet(f"{root}/{INCOME}")
     rent = spark.read.parquet(f"{root}/{RENT}").select("neighborhoodId", "year", "month", "day", "price")
@@ -95,11 +93,26 @@ def exploitation_tables(spark: SparkSession, formatted_root: str,
         income = income.where(F.col("year").isin(list(years)))
         rent = rent.where(F.col("year").isin(list(years)))
         incidents = incidents.where(F.col("anyDataAlta").isin([str(y) for y in years]))
+    return income, rent, incidents
+
+
+def exploitation_tables(spark: SparkSession, formatted_root: str,
+                        years: list[int] | None = None) -> dict[str, DataFrame]:
+    """The four indicator tables, keyed by their database table names.
+
+    Rent is scanned once: its daily aggregate (neighbourhoods x days rows) is
+    checkpointed to the reliable checkpoint folder (an eager job) and both
+    AVGIND and LISTINGIND are derived from it.  ``years`` restricts every
+    indicator to those years; on the rent table (partitioned by year / month)
+    the filter prunes folders."""
+    income, rent, incidents = formatted_tables(spark, formatted_root, years)
+    daily = cut_lineage(rent_daily(rent))
+    avgind, listing = indicators_from_daily(income, incidents, daily)
     return {
-        "AVGIND": avg_indicators(income, rent),
-        "LISTINGIND": listing_indicators(incidents, rent),
+        "AVGIND": avgind,
+        "LISTINGIND": listing,
         "POPULATION": population(income),
-        "NEIGHBORHOODS": spark.read.parquet(f"{root}/{NEIGHBORHOODS}"),
+        "NEIGHBORHOODS": spark.read.parquet(f"{formatted_root.rstrip('/')}/{NEIGHBORHOODS}"),
     }
 
 

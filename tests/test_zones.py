@@ -2,6 +2,7 @@
 
 from cityzones import bench_queries as bq
 from cityzones.plans import zones
+from conftest import rows
 
 SF = "/root/testdata/sf0.001"
 
@@ -23,12 +24,23 @@ def test_zones_end_to_end(spark, tmp_dir):
     assert t["NEIGHBORHOODS"].count() == 25
     assert t["AVGIND"].columns == ["neighborhood", "year", "avg_income", "avg_rent"]
     assert t["LISTINGIND"].count() > 0
+    # one rent scan for both tables gives the same tables as the single-use functions
+    from cityzones.plans.indicators import avg_indicators, listing_indicators
+    f = f"{tmp_dir}/formatted"
+    rent, income = spark.read.parquet(f"{f}/rent"), spark.read.parquet(f"{f}/income")
+    direct_avg = {(r[0], r[1]): (r[2], r[3]) for r in avg_indicators(income, rent).collect()}
+    shared_avg = {(r[0], r[1]): (r[2], r[3]) for r in t["AVGIND"].collect()}
+    assert direct_avg.keys() == shared_avg.keys()
+    for k, (a, b) in direct_avg.items():
+        assert shared_avg[k][0] == a and abs(shared_avg[k][1] - b) <= 1e-9 * abs(b)
+    direct_listing = listing_indicators(spark.read.parquet(f"{f}/incidents"), rent)
+    assert rows(direct_listing) == rows(t["LISTINGIND"])
     one_year = zones.exploitation_tables(spark, f"{tmp_dir}/formatted", years=[1996])
     import contextlib
     import io
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        one_year["AVGIND"].explain("formatted")
+        zones.formatted_tables(spark, f"{tmp_dir}/formatted", years=[1996])[1].explain("formatted")
     assert "PartitionFilters: [isnotnull(year" in buf.getvalue()
     assert {r.year for r in one_year["AVGIND"].collect()} <= {1996}
     ds = zones.run_ml_dataset(spark, f"{tmp_dir}/formatted", f"{tmp_dir}/dataset")
