@@ -496,6 +496,29 @@ def q_listing_indicators(spark, d):
     return listing_indicators(incident_rows(spark, d), rent_rows(spark, d))
 
 
+def _shared_scan(spark, d):
+    from cityzones.plans.indicators import indicators_from_daily, rent_daily
+    from cityzones.session import cut_lineage
+    daily = cut_lineage(rent_daily(rent_rows(spark, d)))
+    return indicators_from_daily(income_rows(spark, d), incident_rows(spark, d), daily)
+
+
+@query("avg_indicators_daily", sql=ORACLE["avg_indicators"])
+def q_avg_indicators_daily(spark, d):
+    """AVGIND as the exploitation zone computes it: from the checkpointed
+    daily rent aggregate shared with LISTINGIND (one rent scan)."""
+    avgind, _ = _shared_scan(spark, d)
+    return avgind.select("neighborhood", "year", (F.col("avg_income") / 100).alias("avg_income"),
+                         (F.col("avg_rent") / 100).alias("avg_rent"))
+
+
+@query("listing_indicators_daily", sql=ORACLE["listing_indicators"])
+def q_listing_indicators_daily(spark, d):
+    """LISTINGIND from the same shared daily rent aggregate."""
+    _, listing = _shared_scan(spark, d)
+    return listing
+
+
 @query("population", sql=f"SELECT neighborhood_id, year, population FROM ({INCOME_ROWS_SQL}) t")
 def q_population(spark, d):
     return population(income_rows(spark, d))
