@@ -17,6 +17,7 @@ from cityzones.plans.formatters import format_incidents, format_income, format_r
 from cityzones.plans.indicators import export_indicators, indicators_from_daily, population, rent_daily
 from cityzones.plans.ml_dataset import ml_dataset
 from cityzones.plans.lookup_builder import build_incident_lookup
+from cityzones.schemas import INCIDENT_DROPPED, INCIDENT_FIELDS
 from cityzones.sources.files import read_csv_columns, read_incidents, read_income, read_rent
 from cityzones.sources.lookups import incident_lookup, income_lookup, rent_lookup
 from cityzones.session import cut_lineage
@@ -55,6 +56,8 @@ def run_incident_lookup(spark: SparkSession, incidents_folder: str, canon_distri
 
 
 # Formatted-zone table names (folders below the formatted root).
+INCIDENTS_DDL = ", ".join(f"`{c}` string" for c in
+                          ["neighborhoodID"] + [f for f in INCIDENT_FIELDS if f not in INCIDENT_DROPPED])
 INCOME, RENT, INCIDENTS, NEIGHBORHOODS = "income", "rent", "incidents", "neighborhoods"
 
 
@@ -62,20 +65,22 @@ def run_formatted_zone(spark: SparkSession, landing: Landing, formatted_root: st
                        on_unmatched: str = "error") -> dict[str, str]:
     """Format the three sources and the neighbourhood dimension into Parquet.
 
-    ``rent`` is partitioned by snapshot year and month so date-bounded reads
-    prune folders."""
+    Partitioned by date for pruning, with the same layout as the streaming
+    ingestion: ``rent`` by snapshot year / month, ``income`` by year,
+    ``incidents`` by opening year."""
     root = formatted_root.rstrip("/")
     lk_income = income_lookup(spark, landing.income_districts, landing.income_neighborhoods)
     lk_rent = rent_lookup(spark, landing.rent_districts, landing.rent_neighborhoods)
     lk_incidents = incident_lookup(spark, landing.incident_lookup, naive_split=landing.naive_csv)
     out = {
         INCOME: write_parquet(format_income(read_income(spark, landing.income), lk_income,
-                                            on_unmatched), f"{root}/{INCOME}"),
+                                            on_unmatched), f"{root}/{INCOME}", partition_by=["year"]),
         RENT: write_parquet(format_rent(read_rent(spark, landing.rent_root), lk_rent),
                             f"{root}/{RENT}", partition_by=["year", "month"]),
         INCIDENTS: write_parquet(format_incidents(read_incidents(spark, landing.incidents,
                                                                  landing.naive_csv),
-                                                  lk_incidents, on_unmatched), f"{root}/{INCIDENTS}"),
+                                                  lk_incidents, on_unmatched), f"{root}/{INCIDENTS}",
+                                 partition_by=["anyDataAlta"]),
         NEIGHBORHOODS: write_parquet(neighborhood_dim(lk_income, lk_incidents, lk_rent),
                                      f"{root}/{NEIGHBORHOODS}"),
     }
@@ -88,7 +93,8 @@ def formatted_tables(spark: SparkSession, formatted_root: str, years: list[int]
     root = formatted_root.rstrip("/")
     income = spark.read.parquet(f"{root}/{INCOME}")
     rent = spark.read.parquet(f"{root}/{RENT}").select("neighborhoodId", "year", "month", "day", "price")
-    incidents = spark.read.parquet(f"{root}/{INCIDENTS}")
+    # declared schema: the partition values stay text, as the formatter made them
+    incidents = spark.read.schema(INCIDENTS_DDL).parquet(f"{root}/{INCIDENTS}")
     if years:
         income = income.where(F.col("year").isin(list(years)))
         rent = rent.where(F.col("year").isin(list(years)))
