@@ -16,6 +16,21 @@ from cityzones.schemas import (
 from cityzones.sources.sinks import write_jdbc
 
 
+def _income_avg(income: DataFrame) -> DataFrame:
+    return group_avg(income.select(F.col("neighborhood_id").alias("neighborhood"),
+                                   F.col("year").cast("int").alias("year"), "RFD"),
+                     ["neighborhood", "year"], "RFD", "avg_income")
+
+
+def _incident_counts(incidents: DataFrame, strict_ints: bool) -> DataFrame:
+    inc = (incidents.where(F.col("type") == F.lit(INCIDENT_TYPE_INCIDENT))
+           .select(to_int("diaDataAlta", strict_ints).alias("day"),
+                   to_int("mesDataAlta", strict_ints).alias("month"),
+                   to_int("anyDataAlta", strict_ints).alias("year"),
+                   F.col("neighborhoodID").alias("neighborhood")))
+    return group_count(inc, ["day", "month", "year", "neighborhood"], "count_incidences")
+
+
 def avg_indicators(income: DataFrame, rent: DataFrame) -> DataFrame:
     """Average income (RFD) and average rent price per (neighbourhood, year),
     for keys present on both sides.
@@ -23,9 +38,7 @@ def avg_indicators(income: DataFrame, rent: DataFrame) -> DataFrame:
     Plan: each side is aggregated partially in its map tasks, shuffled once on
     (neighbourhood, year), finalised, and the two aggregates are joined on the
     same partitioning - one exchange per side, none for the join."""
-    inc = group_avg(income.select(F.col("neighborhood_id").alias("neighborhood"),
-                                  F.col("year").cast("int").alias("year"), "RFD"),
-                    ["neighborhood", "year"], "RFD", "avg_income")
+    inc = _income_avg(income)
     rnt = group_avg(rent.select(F.col("neighborhoodId").alias("neighborhood"),
                                 F.col("year").cast("int").alias("year"), "price"),
                     ["neighborhood", "year"], "price", "avg_rent")
@@ -38,12 +51,7 @@ def listing_indicators(incidents: DataFrame, rent: DataFrame, strict_ints: bool
 
     Incident date parts are text; they are cast to int (``strict_ints`` fails
     the job on text that is not a number)."""
-    inc = (incidents.where(F.col("type") == F.lit(INCIDENT_TYPE_INCIDENT))
-           .select(to_int("diaDataAlta", strict_ints).alias("day"),
-                   to_int("mesDataAlta", strict_ints).alias("month"),
-                   to_int("anyDataAlta", strict_ints).alias("year"),
-                   F.col("neighborhoodID").alias("neighborhood")))
-    inc = group_count(inc, ["day", "month", "year", "neighborhood"], "count_incidences")
+    inc = _incident_counts(incidents, strict_ints)
     lst = group_count(rent.select(F.col("day").cast("int").alias("day"),
                                   F.col("month").cast("int").alias("month"),
                                   F.col("year").cast("int").alias("year"),
@@ -81,19 +89,11 @@ def indicators_from_daily(income: DataFrame, incidents: DataFrame, daily: DataFr
                           strict_ints: bool = True) -> tuple[DataFrame, DataFrame]:
     """``(AVGIND, LISTINGIND)`` from the daily rent aggregate.  The average
     rent is the price sum over priced listings (nulls ignored, as ``avg``)."""
-    inc = group_avg(income.select(F.col("neighborhood_id").alias("neighborhood"),
-                                  F.col("year").cast("int").alias("year"), "RFD"),
-                    ["neighborhood", "year"], "RFD", "avg_income")
+    inc = _income_avg(income)
     rnt = daily.groupBy("neighborhood", "year").agg(
         F.try_divide(F.sum("price_sum"), F.sum("priced")).alias("avg_rent"))
     avgind = inc.join(rnt, ["neighborhood", "year"], "inner").select(*AVG_INDICATOR_COLUMNS)
-    counts = (incidents.where(F.col("type") == F.lit(INCIDENT_TYPE_INCIDENT))
-              .select(to_int("diaDataAlta", strict_ints).alias("day"),
-                      to_int("mesDataAlta", strict_ints).alias("month"),
-                      to_int("anyDataAlta", strict_ints).alias("year"),
-                      F.col("neighborhoodID").alias("neighborhood")))
-    counts = group_count(counts, ["day", "month", "year", "neighborhood"], "count_incidences")
-    listing = counts.join(daily.select("day", "month", "year", "neighborhood", "count_housing"),
+    listing = _incident_counts(incidents, strict_ints).join(daily.select("day", "month", "year", "neighborhood", "count_housing"),
                           ["day", "month", "year", "neighborhood"], "left"
                           ).select(*LISTING_INDICATOR_COLUMNS)
     return avgind, listing
