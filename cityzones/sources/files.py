@@ -127,8 +127,13 @@ def read_incidents(spark: SparkSession, path: str, naive_split: bool = False) ->
 
 
 def read_csv_columns(spark: SparkSession, folder: str, columns: list[str]) -> DataFrame:
-    """Named columns (by header) of every ``*.csv`` file in ``folder``."""
-    df = (spark.read.option("header", True).option("pathGlobFilter", "*.csv")
-          .csv(folder))
+    """Named columns (by header) of every ``*.csv`` file in ``folder``.
+
+    Spark names the columns from one file's header and reads every file by
+    position, so files must share one header layout; a file whose header
+    differs fails the job (``enforceSchema=false``) instead of being read
+    with shifted values."""
+    df = (spark.read.option("header", True).option("enforceSchema", False)
+          .option("pathGlobFilter", "*.csv").csv(folder))
     return df.select(*columns)
 
