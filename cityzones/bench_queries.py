@@ -12,6 +12,9 @@ TPC-H-like tables onto the city data model (see README "Test-data mapping"):
 * income measurements  -> lineitem x supplier (``l_extendedprice``, ship year)
 * incidents            -> lineitem x supplier, type INCIDENCIA when
                           ``l_returnflag = 'R'``
+* lookups              -> built from the nations each source references
+                          (suppliers for income, customers for rent, line
+                          items for incidents), so they grow with the facts
 
 Every query reads whole tables.  Sources and sinks are exercised by writing
 test-data-derived landing files below the session's checkpoint folder and
