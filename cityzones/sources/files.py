@@ -126,14 +126,58 @@ def read_incidents(spark: SparkSession, path: str, naive_split: bool = False) ->
     return read_csv_strict(spark, path, INCIDENT_FIELDS)
 
 
-def read_csv_columns(spark: SparkSession, folder: str, columns: list[str]) -> DataFrame:
-    """Named columns (by header) of every ``*.csv`` file in ``folder``.
-
-    Spark names the columns from one file's header and reads every file by
-    position, so files must share one header layout; a file whose header
-    differs fails the job (``enforceSchema=false``) instead of being read
-    with shifted values."""
-    df = (spark.read.option("header", True).option("enforceSchema", False)
-          .option("pathGlobFilter", "*.csv").csv(folder))
-    return df.select(*columns)
-
+# A comma separates fields only outside double quotes: it is followed by an
+# even number of quote characters up to the end of the line.
+CSV_FIELD_SEPARATOR = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
+def csv_fields(col) -> "F.Column":
+    """Fields of one CSV line as an array (quoted commas kept, surrounding
+    quotes removed, doubled quotes undone).  Empty fields, quoted or not, are
+    null, as the CSV reader (and a pandas read) treats them."""
+    def unquote(x):
+        quoted = x.startswith('"') & x.endswith('"') & (F.length(x) >= 2)
+        inner = F.replace(F.substr(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))
+        return F.when((x == "") | (x == '""'), F.lit(None)).when(quoted, inner).otherwise(x)
+    return F.transform(F.split(col, CSV_FIELD_SEPARATOR, -1), unquote)
+
+
+def read_csv_columns(spark: SparkSession, folder: str, columns: list[str],
+                     per_file_header: bool = True) -> DataFrame:
+    """Named columns of every ``*.csv`` file in ``folder``, each file read by
+    its own header (files may order their columns differently).
+
+    Each file's header is its first line: the smallest row id in the file's
+    first split, found by a partial ``min_by`` per file, together with the
+    positions of ``columns`` in it.  That table (one row per file) joins back
+    by file path, and each data line is split once (``csv_fields``) and
+    indexed at its file's positions.  A file without one of ``columns``
+    fails the job.  Quoted line breaks inside a field are not supported by
+    this line-based read.
+
+    ``per_file_header=False`` uses the plain CSV reader, which names columns
+    from one header and reads every file by position; a file whose header
+    differs then fails the job (``enforceSchema=false``)."""
+    if not per_file_header:
+        df = (spark.read.option("header", True).option("enforceSchema", False)
+              .option("pathGlobFilter", "*.csv").csv(folder))
+        return df.select(*columns)
+    from cityzones.operators.joins import bounded_broadcast
+    lines = (spark.read.option("pathGlobFilter", "*.csv").text(folder)
+             .select("value", F.col("_metadata.file_path").alias("_f"),
+                     F.col("_metadata.file_block_start").alias("_b"),
+                     F.monotonically_increasing_id().alias("_i")))
+    heads = (lines.where(F.col("_b") == 0).groupBy("_f")
+             .agg(F.min_by("value", "_i").alias("_h"), F.min("_i").alias("_hi")))
+    heads = heads.select("_f", "_hi", *[F.array_position(csv_fields(F.col("_h")), c).cast("int")
+                                        .alias(f"_p{i}") for i, c in enumerate(columns)])
+    heads, _ = bounded_broadcast(heads)
+    data = (lines.join(heads, "_f").where(F.col("_i") != F.col("_hi"))
+            .select("_f", csv_fields(F.col("value")).alias("_v"),
+                    *[f"_p{i}" for i in range(len(columns))]))
+    out = []
+    for i, c in enumerate(columns):
+        pos = F.col(f"_p{i}")
+        out.append(F.when(pos == 0, F.raise_error(F.concat(F.lit(f"column {c} missing in "), F.col("_f"))))
+                   .otherwise(F.get(F.col("_v"), pos - 1)).alias(c))
+    return data.select(*out)

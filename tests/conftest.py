@@ -24,6 +24,19 @@ def tmp_dir(spark):
     return scratch_path(spark, "test")
 
 
+def row_key(t):
+    """Natural order (numbers numerically, other values as text), None last."""
+    key = []
+    for x in t:
+        if x is None:
+            key.append((1, 0, 0))
+        elif isinstance(x, (int, float)):
+            key.append((0, 0, x))
+        else:
+            key.append((0, 1, str(x)))
+    return tuple(key)
+
+
 def rows(df, *cols):
     cols = cols or df.columns
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=row_key)

@@ -1,7 +1,7 @@
 import os
 
 from cityzones.sources.files import read_csv_columns, read_json_lines
-from conftest import rows
+from conftest import row_key, rows
 
 
 def _local(path):
@@ -22,15 +22,24 @@ def test_csv_folder_columns_reads_only_csv_files(spark, tmp_dir):
     assert rows(out) == [("el Raval", "Ciutat Vella"), ("la Salut", "Gràcia")]
 
 
-def test_csv_folder_columns_rejects_other_layouts(spark, tmp_dir):
+def test_csv_folder_columns_per_file_header(spark, tmp_dir):
     import pytest
     d = _local(f"{tmp_dir}/mixed")
     os.makedirs(d)
     with open(f"{d}/a.csv", "w") as f:
-        f.write("BARRI,X,DISTRICTE\nel Raval,1,Ciutat Vella\n")
+        f.write("BARRI,X,DISTRICTE\nel Raval,1,Ciutat Vella\n\"Sant Antoni, l'Eixample\",2,Eixample\n")
     with open(f"{d}/b.csv", "w") as f:
-        f.write("DISTRICTE,BARRI\nGràcia,la Salut\n")   # would be read shifted by position
+        f.write("DISTRICTE,BARRI\nGràcia,la Salut\nGràcia,\n")   # other order; an empty name
+    out = read_csv_columns(spark, f"{tmp_dir}/mixed", ["BARRI", "DISTRICTE"])
+    assert rows(out) == sorted([("el Raval", "Ciutat Vella"), ("Sant Antoni, l'Eixample", "Eixample"),
+                                ("la Salut", "Gràcia"), (None, "Gràcia")], key=row_key)
+    # the plain reader would read b.csv shifted by position: it refuses instead
     with pytest.raises(Exception):
+        read_csv_columns(spark, f"{tmp_dir}/mixed", ["BARRI", "DISTRICTE"], per_file_header=False).collect()
+    # a file without a requested column fails the job
+    with open(f"{d}/c.csv", "w") as f:
+        f.write("BARRI\nx\n")
+    with pytest.raises(Exception, match="column DISTRICTE missing"):
         read_csv_columns(spark, f"{tmp_dir}/mixed", ["BARRI", "DISTRICTE"]).collect()
 
 
@@ -41,3 +50,9 @@ def test_json_lines_missing_key_is_null(spark, tmp_dir):
         f.write('{"a": "1", "b": 2}\n{"a": "2"}\n')
     df = read_json_lines(spark, f"{tmp_dir}/json", "a string, b bigint")
     assert rows(df) == [("1", 2), ("2", None)]
+
+
+def test_csv_fields(spark):
+    from cityzones.sources.files import csv_fields
+    df = spark.createDataFrame([('a,"b, c","d""e",,""',)], "v string")
+    assert df.select(csv_fields("v").alias("f")).first()["f"] == ["a", "b, c", 'd"e', None, None]
