@@ -647,6 +647,7 @@ def q_scan_json(spark, d):
 
 @query("scan_csv_roundtrip", sql="SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def q_scan_csv_roundtrip(spark, d):
+    # several files, each with its own header line, as a landing folder has
     path = write_csv(_t(spark, d, "customer").repartition(4), scratch_path(spark, "customer-csv"))
     return read_csv(spark, path, schema="c_custkey bigint, c_name string, c_nationkey int, "
                                         "c_acctbal double, c_mktsegment string")
