@@ -76,3 +76,11 @@ def test_no_single_partition_funnel(spark, name):
     p = plan(bq.QUERIES[name](spark, SF), "simple")
     assert "Exchange SinglePartition" not in p
     assert "Window" not in p and "rangepartitioning" not in p
+
+
+@pytest.mark.parametrize("name", ["format_income", "format_incidents", "format_incidents_naive",
+                                  "reconcile_left", "reconcile_inner"])
+def test_reconcile_joins_broadcast_the_lookup(spark, name):
+    """J2-J4: the bounded lookup is broadcast; the raw rows are not shuffled for it."""
+    p = plan(bq.QUERIES[name](spark, SF), "simple")
+    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
