@@ -1,7 +1,7 @@
 """Command line (spark-submit friendly) for the zone runs.
 
   python -m cityzones lookup   --incidents DIR --districts JSON --neighborhoods JSON --out CSV_DIR
-  python -m cityzones format   --landing landing.json --formatted ROOT
+  python -m cityzones format   --landing landing.json --formatted ROOT [--only rent,income,...]
   python -m cityzones kpis     --formatted ROOT --url JDBC_URL --properties props.json [--years Y,..]
   python -m cityzones dataset  --formatted ROOT --out CSV_DIR
   python -m cityzones train    --dataset CSV_DIR --model-base BASE [--seed N]
@@ -35,6 +35,7 @@ def main(argv=None) -> None:
     f.add_argument("--landing", required=True)
     f.add_argument("--formatted", required=True)
     f.add_argument("--on-unmatched", default="error", choices=["error", "drop", "keep"])
+    f.add_argument("--only", help="comma list of income,rent,incidents,neighborhoods")
     k = sub.add_parser("kpis")
     k.add_argument("--formatted", required=True)
     k.add_argument("--url", required=True)
@@ -62,7 +63,8 @@ def main(argv=None) -> None:
     elif a.cmd == "format":
         with open(a.landing) as fh:
             landing = zones.Landing(**json.load(fh))
-        print(json.dumps(zones.run_formatted_zone(spark, landing, a.formatted, a.on_unmatched)))
+        only = a.only.split(",") if a.only else None
+        print(json.dumps(zones.run_formatted_zone(spark, landing, a.formatted, a.on_unmatched, only)))
     elif a.cmd == "kpis":
         with open(a.properties) as fh:
             props = json.load(fh)

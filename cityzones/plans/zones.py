@@ -62,28 +62,45 @@ INCOME, RENT, INCIDENTS, NEIGHBORHOODS = "income", "rent", "incidents", "neighbo
 
 
 def run_formatted_zone(spark: SparkSession, landing: Landing, formatted_root: str,
-                       on_unmatched: str = "error") -> dict[str, str]:
-    """Format the three sources and the neighbourhood dimension into Parquet.
+                       on_unmatched: str = "error", only: list[str] | None = None) -> dict[str, str]:
+    """Format the three sources and the neighbourhood dimension into Parquet
+    (``only``: a subset of ``income``, ``rent``, ``incidents``,
+    ``neighborhoods``).
 
     Partitioned by date for pruning, with the same layout as the streaming
     ingestion: ``rent`` by snapshot year / month, ``income`` by year,
     ``incidents`` by opening year."""
+    tables = set(only or (INCOME, RENT, INCIDENTS, NEIGHBORHOODS))
+    unknown = tables - {INCOME, RENT, INCIDENTS, NEIGHBORHOODS}
+    if unknown:
+        raise ValueError(f"unknown formatted tables: {sorted(unknown)}")
     root = formatted_root.rstrip("/")
-    lk_income = income_lookup(spark, landing.income_districts, landing.income_neighborhoods)
-    lk_rent = rent_lookup(spark, landing.rent_districts, landing.rent_neighborhoods)
-    lk_incidents = incident_lookup(spark, landing.incident_lookup, naive_split=landing.naive_csv)
-    out = {
-        INCOME: write_parquet(format_income(read_income(spark, landing.income), lk_income,
-                                            on_unmatched), f"{root}/{INCOME}", partition_by=["year"]),
-        RENT: write_parquet(format_rent(read_rent(spark, landing.rent_root), lk_rent),
-                            f"{root}/{RENT}", partition_by=["year", "month"]),
-        INCIDENTS: write_parquet(format_incidents(read_incidents(spark, landing.incidents,
-                                                                 landing.naive_csv),
-                                                  lk_incidents, on_unmatched), f"{root}/{INCIDENTS}",
-                                 partition_by=["anyDataAlta"]),
-        NEIGHBORHOODS: write_parquet(neighborhood_dim(lk_income, lk_incidents, lk_rent),
-                                     f"{root}/{NEIGHBORHOODS}"),
-    }
+
+    def lk_income():
+        return income_lookup(spark, landing.income_districts, landing.income_neighborhoods)
+
+    def lk_rent():
+        return rent_lookup(spark, landing.rent_districts, landing.rent_neighborhoods)
+
+    def lk_incidents():
+        return incident_lookup(spark, landing.incident_lookup, naive_split=landing.naive_csv)
+
+    out = {}
+    if INCOME in tables:
+        out[INCOME] = write_parquet(format_income(read_income(spark, landing.income), lk_income(),
+                                                  on_unmatched), f"{root}/{INCOME}",
+                                    partition_by=["year"])
+    if RENT in tables:
+        out[RENT] = write_parquet(format_rent(read_rent(spark, landing.rent_root), lk_rent()),
+                                  f"{root}/{RENT}", partition_by=["year", "month"])
+    if INCIDENTS in tables:
+        out[INCIDENTS] = write_parquet(
+            format_incidents(read_incidents(spark, landing.incidents, landing.naive_csv),
+                             lk_incidents(), on_unmatched),
+            f"{root}/{INCIDENTS}", partition_by=["anyDataAlta"])
+    if NEIGHBORHOODS in tables:
+        out[NEIGHBORHOODS] = write_parquet(neighborhood_dim(lk_income(), lk_incidents(), lk_rent()),
+                                           f"{root}/{NEIGHBORHOODS}")
     return out
 
 

@@ -1,5 +1,7 @@
 """Zone runs end to end on landing files derived from the smallest test tables."""
 
+import pytest
+
 from cityzones import bench_queries as bq
 from cityzones.plans import zones
 from conftest import rows
@@ -17,6 +19,10 @@ def test_zones_end_to_end(spark, tmp_dir):
         incidents=bq.write_incident_landing(spark, SF), incident_lookup=lk["incidents"])
     out = zones.run_formatted_zone(spark, landing, f"{tmp_dir}/formatted")
     assert set(out) == {"income", "rent", "incidents", "neighborhoods"}
+    only = zones.run_formatted_zone(spark, landing, f"{tmp_dir}/only", only=["neighborhoods"])
+    assert set(only) == {"neighborhoods"}
+    with pytest.raises(ValueError):
+        zones.run_formatted_zone(spark, landing, f"{tmp_dir}/x", only=["rents"])
     rent = spark.read.parquet(out["rent"])
     assert rent.count() == bq.formatted_rent(spark, SF).count()
     t = zones.exploitation_tables(spark, f"{tmp_dir}/formatted")
