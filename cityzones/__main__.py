@@ -5,7 +5,7 @@
   python -m cityzones kpis     --formatted ROOT --url JDBC_URL --properties props.json [--years Y,..]
   python -m cityzones dataset  --formatted ROOT --out CSV_DIR
   python -m cityzones train    --dataset CSV_DIR --model-base BASE [--seed N]
-  python -m cityzones predict  --dataset CSV_DIR --models ROOT [--name NAME]
+  python -m cityzones predict  --dataset CSV_DIR --models ROOT [--name NAME] [--version V]
 
 ``landing.json`` maps the fields of ``cityzones.plans.zones.Landing`` to paths;
 ``props.json`` holds JDBC properties (user, password, driver).
@@ -53,6 +53,7 @@ def main(argv=None) -> None:
     r.add_argument("--dataset", required=True)
     r.add_argument("--models", required=True)
     r.add_argument("--name")
+    r.add_argument("--version", help="yyyyMMddHHmmss of a saved version (default: newest)")
     r.add_argument("--seed", type=int, default=42)
     a = p.parse_args(argv)
 
@@ -76,7 +77,8 @@ def main(argv=None) -> None:
         path, rmse = zones.run_training(spark, a.dataset, a.model_base, a.seed)
         print(json.dumps({"model": path, "rmse": rmse}))
     elif a.cmd == "predict":
-        path, rmse = zones.run_prediction(spark, a.dataset, a.models, a.name, seed=a.seed)
+        path, rmse = zones.run_prediction(spark, a.dataset, a.models, a.name, seed=a.seed,
+                                          version=a.version)
         print(json.dumps({"model": path, "rmse": rmse}))
 
 

@@ -173,11 +173,15 @@ def list_model_versions(spark: SparkSession, root: str) -> DataFrame:
                     "path"))
 
 
-def latest_model_path(spark: SparkSession, root: str, name: str | None = None) -> str | None:
-    """Path of the newest version (of ``name`` when given)."""
+def latest_model_path(spark: SparkSession, root: str, name: str | None = None,
+                      version: str | None = None) -> str | None:
+    """Path of the newest version (of ``name`` when given), or of exactly
+    ``version`` when given."""
     versions = list_model_versions(spark, root)
     if name is not None:
         versions = versions.where(F.col("name") == name)
+    if version is not None:
+        versions = versions.where(F.col("version") == version)
     row = versions.agg(F.max(F.struct("version", "path")).alias("m")).first()
     return row["m"]["path"] if row and row["m"] else None
 

@@ -161,10 +161,11 @@ def run_training(spark: SparkSession, dataset_csv: str, model_base: str, seed: i
 
 
 def run_prediction(spark: SparkSession, dataset_csv: str, models_root: str, name: str | None = None,
-                   path: str | None = None, split_keys: list[str] | None = None, seed: int = 42):
-    """Re-evaluate a saved version (default: the newest) on the test split;
-    returns ``(model path, rmse)``."""
-    chosen = path or ml_plan.latest_model_path(spark, models_root, name)
+                   path: str | None = None, split_keys: list[str] | None = None, seed: int = 42,
+                   version: str | None = None):
+    """Re-evaluate a saved version (default: the newest; or ``version``) on
+    the test split; returns ``(model path, rmse)``."""
+    chosen = path or ml_plan.latest_model_path(spark, models_root, name, version)
     if chosen is None:
         raise FileNotFoundError(f"no saved model below {models_root}")
     df = ml_plan.load_dataset(spark, dataset_csv).persist(StorageLevel.MEMORY_AND_DISK)

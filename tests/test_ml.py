@@ -75,6 +75,8 @@ def test_train_evaluate_save_list_load(spark, tmp_dir):
         ("forest", "20240101000000"), ("forest", "20240301000000")]
     latest = ml.latest_model_path(spark, root, "forest")
     assert latest.endswith("forest_v20240301000000")
+    assert ml.latest_model_path(spark, root, "forest", "20240101000000").endswith("forest_v20240101000000")
+    assert ml.latest_model_path(spark, root, "forest", "19990101000000") is None
     loaded = ml.load_model(p1)
     _, rmse_loaded = ml.evaluate(loaded, ml.hash_split(df, ["neighborhoodId", "year", "price", "size",
                                                             "priceByArea", "bathrooms"])[1])
