@@ -58,3 +58,17 @@ def test_require_not_null(spark):
     bad = spark.createDataFrame([(None, 1)], "k string, y int")
     with pytest.raises(Exception, match="must not be null"):
         require_not_null(bad, ["k"]).collect()
+
+
+def test_normalize_name_invariants(spark):
+    import random
+    import re
+    rnd = random.Random(5)
+    alphabet = "abcXYZ019 -_'.,àÉïÒüçÑß·\\t\"/()ŁøΩ"
+    words = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 24))) for _ in range(500)]
+    df = spark.createDataFrame([(w,) for w in words], "v string")
+    out = df.select(normalize_name("v").alias("n")).select("n", normalize_name("n").alias("nn"))
+    pattern = re.compile(r"^([a-z0-9]+( [a-z0-9]+)*)?$")
+    for r in out.collect():
+        assert pattern.match(r["n"]), r["n"]
+        assert r["nn"] == r["n"]          # idempotent
