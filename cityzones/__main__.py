@@ -2,6 +2,7 @@
 
   python -m cityzones lookup   --incidents DIR --districts JSON --neighborhoods JSON --out CSV_DIR
   python -m cityzones format   --landing landing.json --formatted ROOT [--only rent,income,...]
+  python -m cityzones ingest   --landing landing.json --formatted ROOT [--only rent,...]
   python -m cityzones kpis     --formatted ROOT --url JDBC_URL --properties props.json [--years Y,..]
   python -m cityzones dataset  --formatted ROOT --out CSV_DIR
   python -m cityzones train    --dataset CSV_DIR --model-base BASE [--seed N]
@@ -36,6 +37,11 @@ def main(argv=None) -> None:
     f.add_argument("--formatted", required=True)
     f.add_argument("--on-unmatched", default="error", choices=["error", "drop", "keep"])
     f.add_argument("--only", help="comma list of income,rent,incidents,neighborhoods")
+    g = sub.add_parser("ingest")
+    g.add_argument("--landing", required=True)
+    g.add_argument("--formatted", required=True)
+    g.add_argument("--on-unmatched", default="error", choices=["error", "drop", "keep"])
+    g.add_argument("--only", help="comma list of income,rent,incidents")
     k = sub.add_parser("kpis")
     k.add_argument("--formatted", required=True)
     k.add_argument("--url", required=True)
@@ -66,6 +72,11 @@ def main(argv=None) -> None:
             landing = zones.Landing(**json.load(fh))
         only = a.only.split(",") if a.only else None
         print(json.dumps(zones.run_formatted_zone(spark, landing, a.formatted, a.on_unmatched, only)))
+    elif a.cmd == "ingest":
+        with open(a.landing) as fh:
+            landing = zones.Landing(**json.load(fh))
+        only = a.only.split(",") if a.only else None
+        print(json.dumps(zones.run_incremental_zone(spark, landing, a.formatted, only, a.on_unmatched)))
     elif a.cmd == "kpis":
         with open(a.properties) as fh:
             props = json.load(fh)
