@@ -69,7 +69,10 @@ def run_incremental(stream: DataFrame, transform: Callable[[DataFrame], DataFram
 
     ``available_now`` processes everything that has landed and stops (a
     scheduled batch run); otherwise the query keeps running on
-    ``processing_time`` triggers."""
+    ``processing_time`` triggers.  Recurring runs must pass the same
+    ``checkpoint_location`` (shared storage) to read only new files; without
+    one, a fresh folder is used and every file is read again (still without
+    duplicates, thanks to the anti-join)."""
     spark = stream.sparkSession
     ckpt = checkpoint_location or scratch_path(spark, "stream-checkpoint")
 
