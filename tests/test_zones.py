@@ -79,6 +79,10 @@ def test_cli_dataset_and_predict(spark, tmp_dir, capsys):
     main(["predict", "--dataset", f"{tmp_dir}/ds", "--models", f"{tmp_dir}/m", "--seed", "2"])
     out = [json.loads(line) for line in capsys.readouterr().out.strip().splitlines()[-2:]]
     assert out[0]["model"] == out[1]["model"] and out[0]["rmse"] == out[1]["rmse"]
+    main(["ingest", "--landing", cfg.replace("file:", ""), "--formatted", f"{tmp_dir}/inc", "--only", "rent"])
+    streamed = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert set(streamed) == {"rent"}
+    assert spark.read.parquet(streamed["rent"]).count() == spark.read.parquet(f"{tmp_dir}/f/rent").count()
 
 
 def test_incident_lookup_runner(spark, tmp_dir):
