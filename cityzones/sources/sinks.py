@@ -28,9 +28,18 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool =
     return path
 
 
-def write_single_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """One CSV file with a header.  Only for dimension-sized outputs (a lookup):
-    everything passes through one task."""
+SINGLE_FILE_MAX_ROWS = 1_000_000
+
+
+def write_single_csv(df: DataFrame, path: str, mode: str = "overwrite",
+                     max_rows: int = SINGLE_FILE_MAX_ROWS) -> str:
+    """One CSV file with a header, for dimension-sized outputs (a lookup).
+
+    Everything passes through one task, so the row count is checked first
+    with a bounded probe; above ``max_rows`` it refuses (use ``write_csv``)."""
+    from cityzones.operators.joins import fits_broadcast
+    if not fits_broadcast(df, max_rows):
+        raise ValueError(f"more than {max_rows} rows: too large for one file, use write_csv")
     df.coalesce(1).write.mode(mode).option("header", True).csv(path)
     return path
 

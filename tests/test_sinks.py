@@ -71,3 +71,6 @@ def test_parquet_partitioned_and_single_csv(spark, tmp_dir):
     assert len(files) <= 6
     one = write_single_csv(df, f"{tmp_dir}/c")
     assert len(glob.glob(one.replace("file:", "") + "/*.csv")) == 1
+    import pytest
+    with pytest.raises(ValueError, match="too large for one file"):
+        write_single_csv(df, f"{tmp_dir}/c2", max_rows=100)
