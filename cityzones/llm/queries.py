@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from cityzones.llm import chat, mixing, quality, sharding
+from cityzones.llm import chat, licenses, minhash, mixing, quality, secrets, sharding
 
-_MODULES = (chat, quality, mixing, sharding)
+_MODULES = (chat, minhash, quality, mixing, sharding, licenses, secrets)
 
 QUERIES = {k: f for m in _MODULES for k, f in m.QUERIES.items()}
 ORACLE = {k: s for m in _MODULES for k, s in m.ORACLE.items()}
