@@ -78,4 +78,8 @@ def shingles(raws: list[bytes], k: int = 5) -> tuple[np.ndarray, np.ndarray]:
 
 def distinct(hashes: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
     """The sorted distinct hashes of each text."""
-    return [np.unique(hashes[a:b]) for a, b in zip(first[:-1], first[1:])]
+    out = []
+    for a, b in zip(first[:-1], first[1:]):
+        x = np.sort(hashes[a:b])
+        out.append(x[np.concatenate([x[:1] == x[:1], x[1:] != x[:-1]])])
+    return out
