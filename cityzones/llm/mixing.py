@@ -19,7 +19,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cityzones.llm.common import WORD, materialize, running_totals
@@ -31,6 +31,10 @@ BLOCK_ROWS = 4096
 FAN_IN = 512
 
 
+def n_words(text: Column) -> Column:
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
+
+
 def source_targets(sources: DataFrame, weights=WEIGHTS, share=SHARE, most: int = MOST) -> DataFrame:
     """Append ``target`` to rows (source, source_size): a share of all words dealt by weight, no source above ``most``
     times its size, what is cut off dealt again by weight until none is above.
@@ -97,16 +101,16 @@ def _trade(frame: pd.DataFrame, seed: int, level: int) -> pd.DataFrame:
 
 def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 17,
         weights=WEIGHTS, share=SHARE, most: int = MOST, block_rows: int = BLOCK_ROWS, fan_in: int = FAN_IN,
-        key: list[str] | None = None) -> DataFrame:
+        key: list[str] | None = None, size: Column | None = None) -> DataFrame:
     """Rows (id, source, size, source_size, target, copies, taken), one per row of ``df``, with the ``key`` columns.
 
-    Size: number of words (null text: 0).  copies: 0 to ``most``; taken: copies times size.  Documents without words
+    Size: number of words (null text: 0), or the column ``size``.  copies: 0 to ``most``; taken: copies times size.  Documents without words
     take nothing.  The last open fraction of a source goes to the nearer whole number, so its taken words differ from
     the target by at most half of one document.  Repeated rows are documents of their own."""
     key = key or []
     sizes = materialize(df.select(
         F.col(id_col).alias("id"), F.col(source_col).alias("source"), *[F.col(k).alias(f"_k_{k}") for k in key],
-        F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long").alias("size")), "mix-sizes")
+        (n_words(F.col(text_col)) if size is None else size).alias("size")), "mix-sizes")
     keys = [f"_k_{k}" for k in key]
     sources = source_targets(sizes.groupBy("source").agg(
         F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_rows")), weights, share, most)
@@ -139,6 +143,22 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
                       copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` (doc_id, text, source and any others) with every row as often as the mix takes it, up to ``most`` times.
+
+    Rows that repeat a doc_id are told apart by their source and text; rows alike in these are interchangeable."""
+    w = Window.partitionBy("doc_id").orderBy("source", "_hash")
+    hashed = docs.withColumn("_hash", F.xxhash64("text"))
+    narrow = hashed.select("doc_id", "source", "_hash", n_words(F.col("text")).alias("_size")) \
+        .withColumn("_nth", F.row_number().over(w))
+    plan = mix(narrow, key=["_nth"], size=F.col("_size"), **options).where("copies > 0")
+    plan = materialize(plan.select("id", F.col("_nth").alias("nth"), "copies"), "mix-plan")
+    rows = hashed.withColumn("_nth", F.row_number().over(w))
+    taken = rows.join(plan, rows["doc_id"].eqNullSafe(plan["id"]) & (rows["_nth"] == plan["nth"]))
+    return taken.select(*[rows[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), "copies")).alias("_copy")) \
+        .drop("_copy")
+
+
 def op5_mixing(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
     return mix(docs).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")

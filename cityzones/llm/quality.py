@@ -110,6 +110,12 @@ def judge(df: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
     return found.withColumn("kept", kept)
 
 
+def passing(df: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
+    """The rows of ``df`` that are kept, with their own columns whatever their names."""
+    return judge(df.select(F.struct("*").alias("_row"), F.col(text).alias("_text")), "_text", rules) \
+        .where("kept").select("_row.*")
+
+
 def op4_quality_rules(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return judge(docs).select(

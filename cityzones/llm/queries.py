@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
-from cityzones.llm import chat, licenses, minhash, mixing, quality, secrets, sharding
+from cityzones.llm import (
+    chat, decontaminate, licenses, minhash, mixing, quality, secrets, sharding, suffixes, token_files)
 
-_MODULES = (chat, minhash, quality, mixing, sharding, licenses, secrets)
+_MODULES = (decontaminate, chat, minhash, quality, mixing, sharding, suffixes, licenses, token_files, secrets)
 
-QUERIES = {k: f for m in _MODULES for k, f in m.QUERIES.items()}
+
+def _pipeline(spark, sf_dir: str):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {k: f for m in _MODULES for k, f in m.QUERIES.items()} | {"pipeline": _pipeline}
 ORACLE = {k: s for m in _MODULES for k, s in m.ORACLE.items()}

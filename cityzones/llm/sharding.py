@@ -88,13 +88,8 @@ def minimax_cuts(ends: DataFrame, total: int, widest: int, n_shards: int) -> lis
     return cuts
 
 
-def shard(df: DataFrame, n_shards: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (id, size, text_crc32, shard, slot), one per row of ``df``; all other columns are left out.
-
-    Size: UTF-8 bytes plus 1 (null text: no bytes, checksum 0).  Equal texts share a shard; null texts are one group,
-    empty texts another.  Shards hold contiguous runs of groups; slots count from 0 in each shard in (digest, id)
-    order; repeated rows get slots of their own; null ids come first.  An empty table gives an empty result; with fewer
-    groups than shards the last shards stay empty."""
+def _plan(df: DataFrame, n_shards: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, list[int]]:
+    """(rows in order with their running bytes and rank, sorted group ends with their digest, cuts)."""
     t = F.col(text_col)
     rows = df.select(F.col(id_col).alias("id"), text_digest(t).alias("digest"),
                      (F.coalesce(F.octet_length(t), F.lit(0)) + 1).cast("long").alias("size"),
@@ -102,19 +97,45 @@ def shard(df: DataFrame, n_shards: int = 16, id_col: str = "doc_id", text_col: s
     ranked = materialize(running_totals(
         rows, ["digest", "id"], {"end": F.col("size"), "rank": F.lit(1).cast("long")}, "shard"), "shard-rows")
     groups = ranked.groupBy("digest").agg(F.max("end").alias("end"), F.min(F.col("end") - F.col("size")).alias("start"))
-    ends = materialize(groups.select("end", (F.col("end") - F.col("start")).alias("width"))
+    ends = materialize(groups.select("digest", "end", (F.col("end") - F.col("start")).alias("width"))
                        .repartitionByRange("end").sortWithinPartitions("end"), "shard-ends")
     total, widest = ends.agg(F.coalesce(F.max("end"), F.lit(0)), F.coalesce(F.max("width"), F.lit(0))).first()
-    cuts = minimax_cuts(ends, total, widest, n_shards) if total else []
+    return ranked, ends, minimax_cuts(ends, total, widest, n_shards) if total else []
+
+
+def _after(value: Column, cuts: list[Column]) -> Column:
+    """How many of the cuts lie before ``value``."""
     which = F.lit(0)
-    for c in cuts[:-1]:
-        which = which + (F.col("end") > c).cast("int")
-    dealt = ranked.withColumn("shard", which)
+    for c in cuts:
+        which = which + (value > c).cast("int")
+    return which
+
+
+def shard(df: DataFrame, n_shards: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows (id, size, text_crc32, shard, slot), one per row of ``df``; all other columns are left out.
+
+    Size: UTF-8 bytes plus 1 (null text: no bytes, checksum 0).  Equal texts share a shard; null texts are one group,
+    empty texts another.  Shards hold contiguous runs of groups; slots count from 0 in each shard in (digest, id)
+    order; repeated rows get slots of their own; null ids come first.  An empty table gives an empty result; with fewer
+    groups than shards the last shards stay empty."""
+    ranked, _, cuts = _plan(df, n_shards, id_col, text_col)
+    dealt = ranked.withColumn("shard", _after(F.col("end"), [F.lit(c) for c in cuts[:-1]]))
     firsts = dict(dealt.groupBy("shard").agg(F.min("rank")).collect())  # one row per shard
     first = F.element_at(_longs([firsts.get(i, 0) for i in range(n_shards)]), F.col("shard") + 1)
     return dealt.select("id", "size", "text_crc32", "shard", (F.col("rank") - first).alias("slot"))
 
 
+def with_shard(df: DataFrame, n_shards: int = 16, id_col: str = "doc_id", text_col: str = "text",
+               out: str = "shard") -> DataFrame:
+    """``df`` with the shard of ``shard`` appended (a column of that name is replaced).
+
+    The cuts are read as digests, so rows are assigned where they are: nothing but the narrow ranking is shuffled."""
+    _, ends, cuts = _plan(df, n_shards, id_col, text_col)
+    inner = cuts[:-1]
+    marks = [r["digest"] for r in ends.where(F.col("end").isin(inner)).select("digest").collect()] if inner else []
+    return df.withColumn(out, _after(text_digest(F.col(text_col)), [F.lit(bytes(d)) for d in marks]))
+
+
 def op6_sharding(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return shard(docs).select(
