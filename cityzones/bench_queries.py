@@ -993,10 +993,10 @@ SELECT DISTINCT CAST(nb._id AS VARCHAR) AS neighborhood_id, nb._name AS neighbor
        pd.district_n_reconciled, pd.DISTRICTE AS district
 FROM pd LEFT JOIN nb ON pd.BARRI = nb.BARRI AND pd.district_id = nb.district_id""")
 def q_incident_lookup_build(spark, d):
-    """Reconcile raw names to a lookup, write it as one CSV (a dimension), read it back."""
+    """Reconcile raw names to a lookup, write it as CSV, read it back."""
     from cityzones.plans.lookup_builder import build_incident_lookup
-    from cityzones.schemas import INCIDENT_LOOKUP_DDL
-    from cityzones.sources.sinks import write_single_csv
+    from cityzones.schemas import INCIDENT_LOOKUP_DDL, field_names
+    from cityzones.sources.files import read_csv_strict
     lk = build_incident_lookup(
         _dirty_pairs(spark, d),
         _t(spark, d, "region").select(F.col("r_regionkey").alias("district_id"),
@@ -1004,8 +1004,8 @@ def q_incident_lookup_build(spark, d):
         _t(spark, d, "nation").select(F.col("n_nationkey").alias("neighborhood_id"),
                                      F.col("n_name").alias("neighborhood_name"),
                                      F.col("n_regionkey").alias("district_id")))
-    path = write_single_csv(lk, scratch_path(spark, "incident-lookup-new"))
-    return spark.read.option("header", True).schema(INCIDENT_LOOKUP_DDL).csv(path)
+    path = write_csv(lk, scratch_path(spark, "incident-lookup-new"))
+    return read_csv_strict(spark, path, field_names(INCIDENT_LOOKUP_DDL), check_header=True)
 
 
 # =====================================================================================

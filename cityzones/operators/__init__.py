@@ -5,9 +5,7 @@ from cityzones.operators.filters import (  # noqa: F401
     drop_incomplete, equals, field_count_is, non_empty, not_null,
 )
 from cityzones.operators.generators import explode_structs, explode_values  # noqa: F401
-from cityzones.operators.joins import (  # noqa: F401
-    bounded_broadcast, fits_broadcast, hot_keys, join_small, skew_join,
-)
+from cityzones.operators.joins import join_measured  # noqa: F401
 from cityzones.operators.partitioning import repartition_by_key  # noqa: F401
 from cityzones.operators.projections import drop_columns, flatten_structs, select_renamed  # noqa: F401
 from cityzones.operators.reconcile import (  # noqa: F401

@@ -1,91 +1,24 @@
-"""Join strategies for a large fact side against a smaller side.
+"""Join of a large fact side with a narrow, usually small side.
 
-* ``bounded_broadcast`` broadcasts only after proving the row-count bound
-  with a bounded probe (at most n + 1 rows read, scanning stops early), so
-  what is broadcast cannot grow with the data unnoticed.
-* Beyond the bound, ``skew_join`` shuffles both sides but splits hot keys.
-  An exact per-key count of the large side (key columns only, combined
-  map-side) finds every key holding more than ``rows_per_task`` rows.  Such
-  a key gets ``ceil(count / rows_per_task)`` salt values: its large-side rows
-  are spread over them by a deterministic hash of the row (a task recomputed
-  after executor loss routes rows identically), and only the small-side rows
-  of that key are replicated once per salt.  A key holding a third of all rows
-  is thus split into tasks of at most ``rows_per_task`` rows, with no cap on
-  partners.  The hot-key table has at most total / rows_per_task rows by
-  construction; it is broadcast after the same bounded check.
+The small side is written once as Parquet and read back.  The planner then
+knows its bytes: below ``spark.sql.autoBroadcastJoinThreshold`` it broadcasts
+without a hint, so the fact side is not shuffled; above it both sides are
+shuffled and adaptive execution splits the partitions of hot keys.  Nothing is
+probed or counted, and the plan is the same at every size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Default broadcast bound: dimension-sized lookups (a few hundred rows in the
-# city data) are far below it; anything above is joined by shuffle.
-DEFAULT_BROADCAST_ROWS = 100_000
-# Rows of one key that one join task may receive before the key is split.
-DEFAULT_ROWS_PER_TASK = 2_000_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    A collected limit over a constant column: Spark scans partitions
-    incrementally and stops once max_rows + 1 rows are seen, so an oversized
-    side costs a few partitions, not a full scan plus a single-partition
-    exchange (what ``limit(n).count()`` plans).  At most max_rows + 1 one-int
-    rows reach the driver."""
-    return len(df.select(F.lit(1).alias("_one")).limit(max_rows + 1).collect()) <= max_rows
-
+from functools import reduce
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS):
-    """``(hinted_df, True)`` when the size bound holds, else ``(df, False)``."""
-    if fits_broadcast(df, max_rows):
-        return F.broadcast(df), True
-    return df, False
-
-
-def hot_keys(big: DataFrame, keys: list[str], rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> DataFrame:
-    """Keys of ``big`` holding more than ``rows_per_task`` rows, with the
-    number of salt values each needs (``_n``)."""
-    counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
-    return (counts.where(F.col("_c") > rows_per_task)
-            .select(*keys, F.ceil(F.col("_c") / F.lit(rows_per_task)).cast("int").alias("_n")))
-
-
-def skew_join(big: DataFrame, small: DataFrame, left_keys: list[str], right_keys: list[str],
-              how: str = "inner", rows_per_task: int = DEFAULT_ROWS_PER_TASK,
-              max_hot_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Shuffle equi-join of ``big`` and ``small`` with hot keys split.
+from pyspark.sql import DataFrame
 
-    Supports ``inner`` and ``left``: every big row meets exactly one replica
-    of each matching small row, so the result equals the plain join."""
-    if how not in ("inner", "left"):
-        raise ValueError(f"skew_join supports inner and left joins, not {how}")
-    hot = hot_keys(big, left_keys, rows_per_task)
-    hot, ok = bounded_broadcast(hot, max_hot_rows)
-    if not ok:  # cannot happen with a sane rows_per_task; AQE skew handling remains
-        return big.join(small, [big[lk] == small[rk] for lk, rk in zip(left_keys, right_keys)], how)
-    hl = hot.select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(left_keys)], "_n")
-    b = big.join(hl, [big[k] == hl[f"_hk{i}"] for i, k in enumerate(left_keys)], "left")
-    b = b.select(*[big[c] for c in big.columns],
-                 F.pmod(F.xxhash64(*[big[c] for c in big.columns]),
-                        F.coalesce(hl["_n"], F.lit(1))).cast("int").alias("_salt"))
-    hs = hot.select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(left_keys)], "_n")
-    s = small.join(hs, [small[rk] == hs[f"_hk{i}"] for i, rk in enumerate(right_keys)], "left")
-    s = s.select(*[small[c] for c in small.columns],
-                 F.explode(F.sequence(F.lit(0), F.coalesce(hs["_n"], F.lit(1)) - 1)).alias("_salt"))
-    cond = [b[lk] == s[rk] for lk, rk in zip(left_keys, right_keys)] + [b["_salt"] == s["_salt"]]
-    return b.join(s, cond, how).drop(b["_salt"]).drop(s["_salt"])
+from cityzones.session import materialize
 
 
-def join_small(big: DataFrame, small: DataFrame, left_keys: list[str], right_keys: list[str],
-               how: str = "inner", max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-               rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> DataFrame:
-    """Join a fact side to a dimension-like side: checked broadcast, else a
-    shuffle join with hot keys split (``skew_join``)."""
-    hinted, ok = bounded_broadcast(small, max_broadcast_rows)
-    if ok:
-        cond = [big[lk] == hinted[rk] for lk, rk in zip(left_keys, right_keys)]
-        return big.join(hinted, cond, how)
-    return skew_join(big, small, left_keys, right_keys, how, rows_per_task)
+def join_measured(big: DataFrame, small: DataFrame, left_keys: list[str], right_keys: list[str],
+                  how: str = "inner") -> DataFrame:
+    """Equi-join ``big`` with ``small``, which is computed once (an eager job)."""
+    side = materialize(small, "join-side")
+    cond = reduce(lambda a, b: a & b, [big[lk] == side[rk] for lk, rk in zip(left_keys, right_keys)])
+    return big.join(side, cond, how)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from cityzones.functions.checks import fail_if
 from cityzones.functions.text import normalize_name, remove_char
-from cityzones.operators.joins import DEFAULT_BROADCAST_ROWS, join_small
+from cityzones.operators.joins import join_measured
 from cityzones.schemas import LOOKUP_COLUMNS
 from cityzones.session import cut_lineage
 
@@ -46,34 +46,43 @@ def build_lookup(districts: DataFrame, neighborhoods: DataFrame) -> DataFrame:
 
 def reconcile(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str = "neighborhood",
               lookup_id: str = "neighborhood_id", out: str = "neighborhood_id",
-              on_unmatched: str = "error",
-              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+              on_unmatched: str = "error") -> DataFrame:
     """Append ``out`` = the lookup id of the row's raw spelling ``df[key]``.
 
     on_unmatched: ``error`` fails the job at the first row without a spelling
     (raised from inside the id column); ``drop`` removes such rows (inner
-    join); ``keep`` keeps them with a null id.  The lookup is broadcast after
-    a bounded size check, else joined by a shuffle join that splits hot keys
-    (``operators.joins.skew_join``)."""
+    join); ``keep`` keeps them with a null id.
+
+    A spelling may stand in several lookup rows (one per district spelling, or
+    without an id in some): it is one key with the id they agree on, so no row
+    of ``df`` is multiplied.  A row whose spelling has two different ids fails
+    the job.  The lookup is joined by its measured size
+    (``operators.joins.join_measured``)."""
     if on_unmatched not in POLICIES:
         raise ValueError(f"on_unmatched must be one of {POLICIES}")
-    lk = lookup.select(F.col(lookup_key).alias("_lk_key"), F.col(lookup_id).alias("_lk_id"),
-                       F.lit(True).alias("_lk_hit"))
+    lk = (lookup.where(F.col(lookup_key).isNotNull())
+          .groupBy(F.col(lookup_key).alias("_lk_key"))
+          .agg(F.min(lookup_id).alias("_lk_id"), F.max(lookup_id).alias("_lk_max"),
+               F.lit(True).alias("_lk_hit")))
     how = "inner" if on_unmatched == "drop" else "left"
-    joined = join_small(df, lk, [key], ["_lk_key"], how, max_broadcast_rows)
-    ident: Column = F.col("_lk_id")
+    joined = join_measured(df, lk, [key], ["_lk_key"], how)
+    ident: Column = fail_if(F.col("_lk_id") != F.col("_lk_max"), "_lk_id",
+                            f"reconcile: the lookup has two ids for a value of {key}")
     if on_unmatched == "error":
-        ident = fail_if(F.col("_lk_hit").isNull(), "_lk_id",
+        ident = fail_if(F.col("_lk_hit").isNull(), ident,
                         f"reconcile: a value of {key} has no entry in the lookup")
     return joined.select(*[df[c] for c in df.columns], ident.alias(out))
 
 
 def unmatched_keys(df: DataFrame, lookup: DataFrame, key: str,
                    lookup_key: str = "neighborhood", out_count: str = "rows") -> DataFrame:
-    """Raw spellings of ``df[key]`` absent from the lookup, with their row counts."""
+    """Raw spellings of ``df[key]`` absent from the lookup, with their row counts.
+
+    Rows are counted per spelling before the lookup is looked at, so only one
+    row per spelling and task is shuffled."""
     lk = lookup.select(F.col(lookup_key).alias("_lk_key")).distinct()
-    missing = df.join(lk, df[key] == lk["_lk_key"], "left_anti")
-    return missing.groupBy(key).agg(F.count(F.lit(1)).alias(out_count))
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias(out_count))
+    return counts.join(lk, counts[key] == lk["_lk_key"], "left_anti")
 
 
 def _delete_one(arr: Column) -> Column:

@@ -9,7 +9,6 @@ from cityzones.functions.values import surrogate_key
 from cityzones.operators.aggregates import first_per_key
 from cityzones.operators.filters import non_empty, not_null
 from cityzones.operators.generators import explode_structs
-from cityzones.operators.joins import DEFAULT_BROADCAST_ROWS
 from cityzones.operators.reconcile import reconcile
 from cityzones.operators.sets import dedupe, union_all
 from cityzones.schemas import (
@@ -22,8 +21,7 @@ from cityzones.schemas import (
 )
 
 
-def format_income(raw: DataFrame, lookup: DataFrame, on_unmatched: str = "error",
-                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def format_income(raw: DataFrame, lookup: DataFrame, on_unmatched: str = "error") -> DataFrame:
     """Income series -> one row per (neighbourhood, year).
 
     ``raw``: ``_id, neigh_name, district_id, district_name, info[year, pop, RFD]``.
@@ -33,39 +31,35 @@ def format_income(raw: DataFrame, lookup: DataFrame, on_unmatched: str = "error"
     rows = explode_structs(raw, "info", ["_id", "neigh_name", "district_id", "district_name"],
                            ["year", "pop", "RFD"], {"pop": "population"})
     rows = dedupe(rows)
-    matched = reconcile(rows, lookup, "neigh_name", on_unmatched=on_unmatched,
-                        max_broadcast_rows=max_broadcast_rows)
+    matched = reconcile(rows, lookup, "neigh_name", on_unmatched=on_unmatched)
     return matched.select(
         surrogate_key("year", "neighborhood_id").alias("id"),
         F.col("year").cast("int").alias("year"), "population", "RFD", "neighborhood_id",
     ).select(*INCOME_COLUMNS)
 
 
-def format_rent(raw: DataFrame, lookup: DataFrame,
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def format_rent(raw: DataFrame, lookup: DataFrame) -> DataFrame:
     """Rent listings (37 fields + year, month, day) -> + ``neighborhoodId``.
 
     Rows without a neighbourhood are dropped, exact duplicates (same listing
     content on the same snapshot date) removed, and listings whose
-    neighbourhood spelling is not in the lookup are dropped."""
+    neighbourhood spelling is not in the lookup are dropped.  These go first:
+    a spelling has one id, so only rows that stay are shuffled to be compared."""
     cols = RENT_COLUMNS + ["year", "month", "day"]
-    rows = dedupe(not_null(raw.select(*cols), "neighborhood"))
-    lk = lookup.where(F.col("neighborhood").isNotNull())
-    matched = reconcile(rows, lk, "neighborhood", out="neighborhoodId", on_unmatched="drop",
-                        max_broadcast_rows=max_broadcast_rows)
-    return matched.select(*cols, "neighborhoodId")
+    rows = not_null(raw.select(*cols), "neighborhood")
+    matched = reconcile(rows, lookup, "neighborhood", out="neighborhoodId", on_unmatched="drop")
+    return dedupe(matched.select(*cols, "neighborhoodId"))
 
 
-def format_incidents(raw: DataFrame, lookup: DataFrame, on_unmatched: str = "error",
-                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def format_incidents(raw: DataFrame, lookup: DataFrame, on_unmatched: str = "error") -> DataFrame:
     """Incident rows (25 string fields) -> ``neighborhoodID`` + 21 fields.
 
     Rows with an empty neighbourhood name are dropped, duplicates removed, the
     name reconciled through the incident lookup, and the four raw district /
     neighbourhood fields dropped."""
-    rows = dedupe(non_empty(raw.select(*INCIDENT_FIELDS), INCIDENT_NAME_FIELD))
-    matched = reconcile(rows, lookup, INCIDENT_NAME_FIELD, out="neighborhoodID",
-                        on_unmatched=on_unmatched, max_broadcast_rows=max_broadcast_rows)
+    rows = non_empty(raw.select(*INCIDENT_FIELDS), INCIDENT_NAME_FIELD)
+    matched = dedupe(reconcile(rows, lookup, INCIDENT_NAME_FIELD, out="neighborhoodID",
+                               on_unmatched=on_unmatched))
     kept = [f for f in INCIDENT_FIELDS if f not in INCIDENT_DROPPED]
     return matched.select("neighborhoodID", *kept)
 

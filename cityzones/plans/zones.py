@@ -17,11 +17,11 @@ from cityzones.plans.formatters import format_incidents, format_income, format_r
 from cityzones.plans.indicators import export_indicators, indicators_from_daily, population, rent_daily
 from cityzones.plans.ml_dataset import ml_dataset
 from cityzones.plans.lookup_builder import build_incident_lookup
-from cityzones.schemas import INCIDENT_DROPPED, INCIDENT_FIELDS
+from cityzones.schemas import FORMATTED_PARTITIONS, INCIDENT_DROPPED, INCIDENT_FIELDS
 from cityzones.sources.files import read_csv_columns, read_incidents, read_income, read_rent
 from cityzones.sources.lookups import incident_lookup, income_lookup, rent_lookup
 from cityzones.session import cut_lineage
-from cityzones.sources.sinks import write_csv, write_parquet, write_single_csv
+from cityzones.sources.sinks import write_csv, write_parquet
 
 
 @dataclass
@@ -45,14 +45,15 @@ def run_incident_lookup(spark: SparkSession, incidents_folder: str, canon_distri
 
     The canonical knowledge base is the income lookup (JSON lines, district and
     neighbourhood files): ids, canonical names and each neighbourhood's
-    district.  The result is one CSV with the incident-lookup header."""
+    district.  The result is a CSV folder whose files carry the incident-lookup
+    header; every lookup reader reads folders."""
     lk = income_lookup(spark, canon_districts, canon_neighborhoods)
     districts = lk.select("district_id", F.col("district_reconciled").alias("district_name")).distinct()
     neighborhoods = lk.select("neighborhood_id",
                               F.col("neighborhood_reconciled").alias("neighborhood_name"), "district_id")
     names = read_csv_columns(spark, incidents_folder, [name_col, district_col])
     table = build_incident_lookup(names, districts, neighborhoods, name_col, district_col, max_distance)
-    return write_single_csv(table, out_csv)
+    return write_csv(table, out_csv)
 
 
 # Formatted-zone table names (folders below the formatted root).
@@ -89,15 +90,15 @@ def run_formatted_zone(spark: SparkSession, landing: Landing, formatted_root: st
     if INCOME in tables:
         out[INCOME] = write_parquet(format_income(read_income(spark, landing.income), lk_income(),
                                                   on_unmatched), f"{root}/{INCOME}",
-                                    partition_by=["year"])
+                                    partition_by=FORMATTED_PARTITIONS[INCOME])
     if RENT in tables:
         out[RENT] = write_parquet(format_rent(read_rent(spark, landing.rent_root), lk_rent()),
-                                  f"{root}/{RENT}", partition_by=["year", "month"])
+                                  f"{root}/{RENT}", partition_by=FORMATTED_PARTITIONS[RENT])
     if INCIDENTS in tables:
         out[INCIDENTS] = write_parquet(
             format_incidents(read_incidents(spark, landing.incidents, landing.naive_csv),
                              lk_incidents(), on_unmatched),
-            f"{root}/{INCIDENTS}", partition_by=["anyDataAlta"])
+            f"{root}/{INCIDENTS}", partition_by=FORMATTED_PARTITIONS[INCIDENTS])
     if NEIGHBORHOODS in tables:
         out[NEIGHBORHOODS] = write_parquet(neighborhood_dim(lk_income(), lk_incidents(), lk_rent()),
                                            f"{root}/{NEIGHBORHOODS}")
@@ -135,7 +136,8 @@ def run_incremental_zone(spark: SparkSession, landing: Landing, formatted_root:
         queries.append(ingest_incidents(
             spark, landing.incidents,
             incident_lookup(spark, landing.incident_lookup, naive_split=landing.naive_csv),
-            f"{root}/{INCIDENTS}", f"{root}/_streams/{INCIDENTS}", on_unmatched=on_unmatched))
+            f"{root}/{INCIDENTS}", f"{root}/_streams/{INCIDENTS}", on_unmatched=on_unmatched,
+            naive_csv=landing.naive_csv))
         out[INCIDENTS] = f"{root}/{INCIDENTS}"
     for q in queries:
         q.awaitTermination()

@@ -131,3 +131,7 @@ def struct(ddl: str) -> StructType:
 
 RENT_COLUMNS = field_names(RENT_DDL)
 ML_DATASET_COLUMNS = field_names(ML_DATASET_DDL)
+
+
+# Partition columns of the formatted tables, the same for batch and incremental runs.
+FORMATTED_PARTITIONS = {"income": ["year"], "rent": ["year", "month"], "incidents": ["anyDataAlta"]}

@@ -70,6 +70,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/cityzones-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet below the scratch folder and read it back.
+
+    Survives lost executors like a checkpoint, is computed once however often
+    it is used, and gives the planner the measured size of a join side."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` into the reliable checkpoint folder and cut its lineage.
 

@@ -6,5 +6,5 @@ from cityzones.sources.files import (  # noqa: F401
 )
 from cityzones.sources.lookups import incident_lookup, income_lookup, rent_lookup  # noqa: F401
 from cityzones.sources.sinks import (  # noqa: F401
-    save_model, write_csv, write_jdbc, write_parquet, write_single_csv,
+    save_model, write_csv, write_jdbc, write_parquet,
 )

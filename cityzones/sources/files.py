@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cityzones.functions.checks import require_not_null
 from cityzones.functions.text import patch_quoted_comma, split_fields, strip_char_all
+from cityzones.session import materialize
 from cityzones.schemas import (
     INCIDENT_FIELDS,
     INCOME_RAW_DDL,
@@ -23,8 +24,9 @@ SNAPSHOT_DATE_PATTERN = r"/(?:[^/=]*=)?(\d+_\d+_\d+)[^/]*/part-[^/]*$"
 
 def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON lines with a declared schema.  A missing key gives null (check it
-    with ``require_not_null`` where the source promises it)."""
-    return spark.read.schema(schema).json(path)
+    with ``require_not_null`` where the source promises it); a value that does
+    not fit its declared type fails the job instead of becoming null."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
 INCOME_REQUIRED = ["_id", "neigh_name", "district_id", "district_name", "info"]
@@ -91,14 +93,25 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None, header:
     return reader.csv(path)
 
 
-def read_csv_strict(spark: SparkSession, path: str, fields: list[str]) -> DataFrame:
-    """Headered CSV, all ``fields`` strings; rows with a different field count
-    are dropped (corrupt-record column, not DROPMALFORMED, which keeps bad
-    rows under column pruning).  Quoted fields may hold commas."""
+def strict_csv(reader, fields: list[str], path: str) -> DataFrame:
+    """``read_csv_strict`` through any CSV reader (batch or stream)."""
     ddl = ", ".join(f"`{f}` string" for f in fields) + ", _corrupt string"
-    df = (spark.read.option("header", True).option("mode", "PERMISSIVE")
+    df = (reader.option("header", True).option("mode", "PERMISSIVE").option("columnPruning", False)
           .option("columnNameOfCorruptRecord", "_corrupt").schema(ddl).csv(path))
-    return df.where(F.col("_corrupt").isNull()).drop("_corrupt")
+    # A data column in the filter: Spark refuses to read the corrupt column alone.
+    whole = F.col("_corrupt").isNull() & (F.length(F.coalesce(F.col(fields[0]), F.lit(""))) >= 0)
+    return df.where(whole).drop("_corrupt")
+
+
+def read_csv_strict(spark: SparkSession, path: str, fields: list[str],
+                    check_header: bool = False) -> DataFrame:
+    """Headered CSV, all ``fields`` strings; rows with a different field count
+    are dropped.  Quoted fields may hold commas.
+
+    The parser always reads every column (``columnPruning`` off): a line's
+    field count is then judged alike for any selection and for ``count()``.
+    ``check_header`` fails the job where a file's header names other fields."""
+    return strict_csv(spark.read.option("enforceSchema", not check_header), fields, path)
 
 
 def read_csv_naive(spark: SparkSession, path: str, fields: list[str],
@@ -109,7 +122,11 @@ def read_csv_naive(spark: SparkSession, path: str, fields: list[str],
     files; ``patch_quoted`` applies the quoted-comma patch first; quotes are
     stripped from both ends of each field; lines that do not give exactly
     ``len(fields)`` fields are dropped.  Empty fields stay ``''``."""
-    lines = spark.read.text(path)
+    return parse_csv_naive(spark.read.text(path), fields, patch_quoted)
+
+
+def parse_csv_naive(lines: DataFrame, fields: list[str], patch_quoted: bool = False) -> DataFrame:
+    """The rows of ``read_csv_naive`` from a table of lines (column ``value``)."""
     header = lines.first()
     if header is not None:
         lines = lines.where(F.col("value") != F.lit(header[0]))
@@ -162,7 +179,6 @@ def read_csv_columns(spark: SparkSession, folder: str, columns: list[str],
         df = (spark.read.option("header", True).option("enforceSchema", False)
               .option("pathGlobFilter", "*.csv").csv(folder))
         return df.select(*columns)
-    from cityzones.operators.joins import bounded_broadcast
     lines = (spark.read.option("pathGlobFilter", "*.csv").text(folder)
              .select("value", F.col("_metadata.file_path").alias("_f"),
                      F.col("_metadata.file_block_start").alias("_b"),
@@ -171,7 +187,7 @@ def read_csv_columns(spark: SparkSession, folder: str, columns: list[str],
              .agg(F.min_by("value", "_i").alias("_h"), F.min("_i").alias("_hi")))
     heads = heads.select("_f", "_hi", *[F.array_position(csv_fields(F.col("_h")), c).cast("int")
                                         .alias(f"_p{i}") for i, c in enumerate(columns)])
-    heads, _ = bounded_broadcast(heads)
+    heads = materialize(heads, "csv-headers")
     data = (lines.join(heads, "_f").where(F.col("_i") != F.col("_hi"))
             .select("_f", csv_fields(F.col("value")).alias("_v"),
                     *[f"_p{i}" for i in range(len(columns))]))

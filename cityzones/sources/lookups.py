@@ -15,7 +15,7 @@ from cityzones.schemas import (
     RENT_NEIGHBORHOOD_LOOKUP_DDL,
     field_names,
 )
-from cityzones.sources.files import read_csv_naive, read_json_lines
+from cityzones.sources.files import read_csv_naive, read_csv_strict, read_json_lines
 
 # FIXED VALUES: rent-lookup short field names -> income-lookup names.
 RENT_DISTRICT_RENAME = {"di": "district", "di_n": "district_name",
@@ -52,11 +52,12 @@ def shape_incident_lookup(df: DataFrame) -> DataFrame:
 
 
 def incident_lookup(spark: SparkSession, path: str, naive_split: bool = False) -> DataFrame:
-    """The incident lookup CSV.  Default: real CSV parsing (quoted commas kept).
+    """The incident lookup CSV.  Default: real CSV parsing (quoted commas kept,
+    lines with another field count dropped, the header checked).
     ``naive_split``: split on every comma after the quoted-comma patch, which
     drops rows whose quoted fields still hold commas."""
     if naive_split:
         raw = read_csv_naive(spark, path, field_names(INCIDENT_LOOKUP_DDL), patch_quoted=True)
     else:
-        raw = spark.read.option("header", True).schema(INCIDENT_LOOKUP_DDL).csv(path)
+        raw = read_csv_strict(spark, path, field_names(INCIDENT_LOOKUP_DDL), check_header=True)
     return shape_incident_lookup(raw)

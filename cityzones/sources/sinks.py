@@ -28,30 +28,6 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool =
     return path
 
 
-SINGLE_FILE_MAX_ROWS = 1_000_000
-
-
-def write_single_csv(df: DataFrame, path: str, mode: str = "overwrite",
-                     max_rows: int = SINGLE_FILE_MAX_ROWS) -> str:
-    """One CSV file with a header, for dimension-sized outputs (a lookup).
-
-    Everything passes through one task, so the row count is checked first
-    with a bounded probe; above ``max_rows`` it refuses (use ``write_csv``).
-    The input is persisted around probe and write, so it is computed once
-    (in parallel) and the single writer task only reads cached blocks."""
-    from pyspark import StorageLevel
-
-    from cityzones.operators.joins import fits_broadcast
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if not fits_broadcast(cached, max_rows):
-            raise ValueError(f"more than {max_rows} rows: too large for one file, use write_csv")
-        cached.coalesce(1).write.mode(mode).option("header", True).csv(path)
-    finally:
-        cached.unpersist()
-    return path
-
-
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
                mode: str = "overwrite", num_partitions: int | None = None,
                batch_size: int | None = None) -> None:

@@ -21,12 +21,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
-from cityzones.operators.joins import bounded_broadcast
 from cityzones.plans.formatters import format_incidents, format_income, format_rent
-from cityzones.schemas import INCIDENT_FIELDS, INCOME_RAW_DDL, INCOME_RAW_NAME_KEY, RENT_COLUMNS, RENT_DDL
-from cityzones.session import scratch_path
+from cityzones.schemas import (
+    FORMATTED_PARTITIONS, INCIDENT_FIELDS, INCOME_RAW_DDL, INCOME_RAW_NAME_KEY, RENT_COLUMNS, RENT_DDL,
+)
+from cityzones.session import materialize, scratch_path
 from cityzones.functions.checks import require_not_null
-from cityzones.sources.files import INCOME_REQUIRED, path_date_columns
+from cityzones.sources.files import INCOME_REQUIRED, parse_csv_naive, path_date_columns, strict_csv
 from cityzones.sources.sinks import write_parquet
 
 
@@ -41,21 +42,30 @@ def rent_landing_stream(spark: SparkSession, root: str, max_files_per_trigger: i
     return path_date_columns(with_path).drop("_path")
 
 
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
+def _existing(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    """The table at ``path`` read with the batch's schema (partition values keep
+    their type), or None when nothing was written there yet."""
     try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
 def append_new_rows(batch: DataFrame, out_path: str, partition_cols: list[str]) -> None:
-    """Append the rows of ``batch`` that ``out_path`` does not hold yet."""
+    """Append the rows of ``batch`` that ``out_path`` does not hold yet.
+
+    The batch is computed once.  The partitions it touches (a handful of
+    folders) become literal filters, so only these are listed and read."""
     spark = batch.sparkSession
-    stored = _existing(spark, out_path)
-    new = batch
+    new = batch = materialize(batch, "stream-batch")
+    stored = _existing(spark, out_path, batch.schema)
     if stored is not None:
-        touched, _ = bounded_broadcast(batch.select(*partition_cols).distinct())
-        stored = stored.join(touched, partition_cols, "left_semi").select(*batch.columns)
+        touched = batch.select(*partition_cols).distinct().collect()
+        here = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in row.asDict().items()])
+                for row in touched]
+        stored = stored.where(reduce(lambda a, b: a | b, here, F.lit(False))).select(*batch.columns)
         same = reduce(lambda a, b: a & b, [batch[c].eqNullSafe(stored[c]) for c in batch.columns])
         new = batch.join(stored, same, "left_anti")
     write_parquet(new, out_path, mode="append", partition_by=partition_cols)
@@ -90,11 +100,11 @@ def run_incremental(stream: DataFrame, transform: Callable[[DataFrame], DataFram
 def ingest_rent(spark: SparkSession, landing_root: str, lookup: DataFrame, out_path: str,
                 checkpoint_location: str | None = None, available_now: bool = True,
                 max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Formatted rent table kept up to date from the landing zone, partitioned
-    by snapshot year / month / day (so KPI jobs prune by date)."""
+    """Formatted rent table kept up to date from the landing zone, in the
+    layout of the batch run (``schemas.FORMATTED_PARTITIONS``)."""
     stream = rent_landing_stream(spark, landing_root, max_files_per_trigger)
     return run_incremental(stream, lambda df: format_rent(df, lookup), out_path,
-                           ["year", "month", "day"], checkpoint_location, available_now)
+                           FORMATTED_PARTITIONS["rent"], checkpoint_location, available_now)
 
 
 def ingest_income(spark: SparkSession, landing_path: str, lookup: DataFrame, out_path: str,
@@ -102,21 +112,26 @@ def ingest_income(spark: SparkSession, landing_path: str, lookup: DataFrame, out
                   on_unmatched: str = "error") -> StreamingQuery:
     """Formatted income table kept up to date from new JSON-lines files,
     partitioned by year."""
-    stream = require_not_null(spark.readStream.schema(INCOME_RAW_DDL).json(landing_path)
+    stream = require_not_null(spark.readStream.schema(INCOME_RAW_DDL).option("mode", "FAILFAST").json(landing_path)
                               .withColumnRenamed(INCOME_RAW_NAME_KEY, "neigh_name"), INCOME_REQUIRED)
     return run_incremental(stream, lambda df: format_income(df, lookup, on_unmatched), out_path,
-                           ["year"], checkpoint_location, available_now)
+                           FORMATTED_PARTITIONS["income"], checkpoint_location, available_now)
 
 
 def ingest_incidents(spark: SparkSession, landing_path: str, lookup: DataFrame, out_path: str,
                      checkpoint_location: str | None = None, available_now: bool = True,
-                     on_unmatched: str = "error") -> StreamingQuery:
+                     on_unmatched: str = "error", naive_csv: bool = False) -> StreamingQuery:
     """Formatted incident table kept up to date from new CSV files (header per
     file, rows with a wrong field count dropped), partitioned by the opening
-    year text."""
-    ddl = ", ".join(f"`{f}` string" for f in INCIDENT_FIELDS) + ", _corrupt string"
-    stream = (spark.readStream.schema(ddl).option("header", True)
-              .option("columnNameOfCorruptRecord", "_corrupt").csv(landing_path)
-              .where(F.col("_corrupt").isNull()).drop("_corrupt"))
-    return run_incremental(stream, lambda df: format_incidents(df, lookup, on_unmatched), out_path,
-                           ["anyDataAlta"], checkpoint_location, available_now)
+    year text.  ``naive_csv`` splits on every comma, as in the batch run."""
+    if naive_csv:
+        stream = spark.readStream.text(landing_path)
+    else:
+        stream = strict_csv(spark.readStream, INCIDENT_FIELDS, landing_path)
+
+    def transform(df: DataFrame) -> DataFrame:
+        raw = parse_csv_naive(df, INCIDENT_FIELDS) if naive_csv else df
+        return format_incidents(raw, lookup, on_unmatched)
+
+    return run_incremental(stream, transform, out_path, FORMATTED_PARTITIONS["incidents"],
+                           checkpoint_location, available_now)

@@ -12,7 +12,7 @@ from pyspark import TaskContext  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql.types import LongType  # noqa: E402
 
-from cityzones.operators.joins import skew_join  # noqa: E402
+from cityzones.operators.joins import join_measured  # noqa: E402
 from cityzones.operators.reconcile import reconcile_names  # noqa: E402
 from cityzones.session import build_session  # noqa: E402
 
@@ -38,8 +38,8 @@ def main():
     small = spark.createDataFrame([("hot", "H"), ("0", "Z"), ("4", "F")], "key string, v string")
     want = rows(base.join(small, base.k == small.key, "left").select("id", "v"))
     unstable = base.withColumn("id", flaky("id"))
-    got = rows(skew_join(unstable, small, ["k"], ["key"], "left", rows_per_task=300).select("id", "v"))
-    assert got == want, "skew_join differs under task retries"
+    got = rows(join_measured(unstable, small, ["k"], ["key"], "left").select("id", "v"))
+    assert got == want, "join_measured differs under task retries"
 
     names = spark.range(0, 2000, 1, 4).select(
         F.concat(F.lit("sant "), F.element_at(F.array(F.lit("andreu"), F.lit("andru"), F.lit("antoni")),

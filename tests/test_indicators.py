@@ -48,5 +48,3 @@ def test_ml_dataset_joins_on_id_and_year(spark):
     assert out.columns == ML_DATASET_COLUMNS
     assert rows(out, "neighborhoodId", "year", "RFD") == [("N1", 2020, 1.5), ("N2", 2020, 2.5)]
     assert dict(out.dtypes)["bathrooms"] == "bigint" and dict(out.dtypes)["year"] == "int"
-    salted = ml_dataset(rent, income, max_broadcast_rows=1)
-    assert rows(salted, "neighborhoodId", "year", "RFD") == [("N1", 2020, 1.5), ("N2", 2020, 2.5)]

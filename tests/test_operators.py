@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from cityzones.operators.aggregates import first_per_key, rmse
 from cityzones.operators.filters import drop_incomplete, field_count_is, non_empty, not_null
 from cityzones.operators.generators import explode_structs, explode_values
-from cityzones.operators.joins import fits_broadcast, hot_keys, join_small, skew_join
+from cityzones.operators.joins import join_measured
 from cityzones.operators.projections import flatten_structs
 from cityzones.operators.reconcile import build_lookup, reconcile, reconcile_names, unmatched_keys
 from cityzones.operators.sets import dedupe, union_all
@@ -67,36 +67,31 @@ def _hot(spark):
     return big, small
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_skew_join_equals_plain_join(spark, how):
+def test_join_measured_equals_plain_join(spark, how):
     big, small = _hot(spark)
-    # "hot" holds 2000 of 3000 rows: with 300 rows per task it gets 7 salts
-    assert rows(hot_keys(big, ["k"], 300)) == [("hot", 7)]
-    plain = big.join(small, big.k == small.key, how).select("id", "v")
-    split = skew_join(big, small, ["k"], ["key"], how, rows_per_task=300)
-    assert split.columns == big.columns + small.columns
-    assert rows(plain) == rows(split.select("id", "v"))
-    # rows of the hot key are spread over its salts
-    b = big.where("k = 'hot'").select(
-        F.pmod(F.xxhash64("k", "id"), F.lit(7)).alias("s")).groupBy("s").count()
-    assert b.count() == 7 and max(r["count"] for r in b.collect()) < 400
-
-
-def test_join_small_uses_salt_beyond_bound(spark):
+    got = join_measured(big, small, ["k"], ["key"], how)
+    assert got.columns == big.columns + small.columns
+    assert rows(got.select("id", "v")) == rows(big.join(small, big.k == small.key, how).select("id", "v"))
+
+
+def test_join_measured_broadcasts_by_size_alone(spark):
     big, small = _hot(spark)
-    assert fits_broadcast(small, 3) and not fits_broadcast(small, 2)
-    a = join_small(big, small, ["k"], ["key"], "inner", max_broadcast_rows=100).select("id", "v")
-    b = join_small(big, small, ["k"], ["key"], "inner", max_broadcast_rows=2).select("id", "v")
-    assert rows(a) == rows(b)
-    import io, contextlib
-    plans = []
-    for df in (a, b):
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            df.explain()
-        plans.append(buf.getvalue())
-    assert "BroadcastHashJoin" in plans[0] and "_salt" not in plans[0]
-    assert "_salt" in plans[1]  # AQE may still broadcast the tiny side at runtime
+    plan = _plan(join_measured(big, small, ["k"], ["key"]))
+    assert "BroadcastHashJoin" in plan and plan.count("Range (") == 1
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+    try:
+        wide = join_measured(big, small, ["k"], ["key"])
+        assert "SortMergeJoin" in _plan(wide) and _plan(wide).count("Range (") == 1  # one scan of the big side
+        want = rows(wide.select("id", "v"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert want == rows(join_measured(big, small, ["k"], ["key"]).select("id", "v"))
 
 
 def _lookup(spark):
@@ -128,11 +123,16 @@ def test_reconcile_policies(spark):
         reconcile(df, lk, "name", on_unmatched="error").collect()
     assert reconcile(df.limit(2).where("v < 3"), lk, "name").count() == 2
     assert rows(unmatched_keys(df, lk, "name")) == [("Nowhere", 1)]
-    # the same through the shuffle path (lookup above the broadcast bound)
+    # several lookup rows for one spelling multiply nothing; two ids for it fail the job
+    same = spark.createDataFrame([("el Raval", "N1"), ("el Raval", "N1"), ("el Raval", None)],
+                                 "neighborhood string, neighborhood_id string")
     for policy in ("keep", "drop"):
-        a = reconcile(df, lk, "name", on_unmatched=policy)
-        b = reconcile(df, lk, "name", on_unmatched=policy, max_broadcast_rows=1)
-        assert rows(a) == rows(b) and b.columns == a.columns
+        assert rows(reconcile(df, same, "name", on_unmatched=policy).where("v = 1"), "v", "neighborhood_id") == [(1, "N1")]
+    split = spark.createDataFrame([("el Raval", "N1"), ("el Raval", "N2"), ("Gòtic", "N2")],
+                                  "neighborhood string, neighborhood_id string")
+    with pytest.raises(Exception, match="two ids"):
+        reconcile(df, split, "name", on_unmatched="drop").collect()
+    assert rows(reconcile(df.where("v = 2"), split, "name"), "v", "neighborhood_id") == [(2, "N2")]
     with pytest.raises(ValueError):
         reconcile(df, lk, "name", on_unmatched="ignore")
 
@@ -219,22 +219,3 @@ def test_reconcile_names_random_vs_brute_force(spark, k):
                        if b == blk and _lev(norm(raw), norm(c)) <= k)
         want = (cands[0][1], cands[0][0]) if cands else (None, None)
         assert got[(raw, blk)] == want, (raw, blk)
-
-
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_skew_join_random_vs_plain_join(spark, seed):
-    import random
-    rnd = random.Random(seed)
-    keys = [None, "a", "b", "c", "d", "e"]
-    weights = [1, 30, 5, 3, 1, 1]           # "a" is hot
-    big = spark.createDataFrame(
-        [(i, rnd.choices(keys, weights)[0], rnd.randint(0, 2)) for i in range(1500)],
-        "id int, k string, g int")
-    small = spark.createDataFrame(
-        [(rnd.choice(keys), rnd.randint(0, 2), f"v{j}") for j in range(12)],  # duplicate keys too
-        "key string, g2 int, v string")
-    per_task = rnd.choice([50, 200, 700])
-    for how in ("inner", "left"):
-        plain = big.join(small, (big.k == small.key) & (big.g == small.g2), how)
-        split = skew_join(big, small, ["k", "g"], ["key", "g2"], how, rows_per_task=per_task)
-        assert rows(plain.select("id", "v")) == rows(split.select("id", "v"))

@@ -4,7 +4,7 @@ is started or contacted."""
 from pyspark.sql.readwriter import DataFrameWriter
 
 from cityzones.plans.indicators import export_indicators
-from cityzones.sources.sinks import write_jdbc, write_parquet, write_single_csv
+from cityzones.sources.sinks import write_csv, write_jdbc, write_parquet
 
 
 class Recorder:
@@ -60,7 +60,7 @@ def test_export_indicators_writes_every_table(spark, monkeypatch):
     assert rec.calls.count(("mode", "overwrite")) == 4 and rec.calls.count(("save",)) == 4
 
 
-def test_parquet_partitioned_and_single_csv(spark, tmp_dir):
+def test_parquet_partitioned_and_csv_folder(spark, tmp_dir):
     import glob
     df = spark.range(200).selectExpr("id", "cast(id % 3 as int) as y")
     path = write_parquet(df.repartition(8), f"{tmp_dir}/p", partition_by=["y"])
@@ -69,8 +69,6 @@ def test_parquet_partitioned_and_single_csv(spark, tmp_dir):
     # rebalanced by the partition column: a few files per folder, not one per input task
     files = glob.glob(path.replace("file:", "") + "/y=*/*.parquet")
     assert len(files) <= 6
-    one = write_single_csv(df, f"{tmp_dir}/c")
-    assert len(glob.glob(one.replace("file:", "") + "/*.csv")) == 1
-    import pytest
-    with pytest.raises(ValueError, match="too large for one file"):
-        write_single_csv(df, f"{tmp_dir}/c2", max_rows=100)
+    folder = write_csv(df.repartition(5), f"{tmp_dir}/c")
+    assert len(glob.glob(folder.replace("file:", "") + "/*.csv")) == 5
+    assert spark.read.option("header", True).csv(folder).count() == 200
