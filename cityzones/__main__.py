@@ -5,8 +5,11 @@
   python -m cityzones ingest   --landing landing.json --formatted ROOT [--only rent,...]
   python -m cityzones kpis     --formatted ROOT --url JDBC_URL --properties props.json [--years Y,..]
   python -m cityzones dataset  --formatted ROOT --out CSV_DIR
-  python -m cityzones train    --dataset CSV_DIR --model-base BASE [--seed N]
-  python -m cityzones predict  --dataset CSV_DIR --models ROOT [--name NAME] [--version V]
+  python -m cityzones train    --dataset CSV_DIR --model-base BASE [--seed N] [--split-keys A,B]
+  python -m cityzones predict  --dataset CSV_DIR --models ROOT [--name NAME] [--version V] [--split-keys A,B]
+
+``--scratch DIR`` (before the command) names the shared folder for intermediate
+files where ``spark.checkpoint.dir`` is not set; they are removed at the end.
 
 ``landing.json`` maps the fields of ``cityzones.plans.zones.Landing`` to paths;
 ``props.json`` holds JDBC properties (user, password, driver).
@@ -18,11 +21,16 @@ import argparse
 import json
 
 from cityzones.plans import zones
-from cityzones.session import build_session
+from cityzones.session import build_session, clear_scratch
+
+
+def _list(text: str | None) -> list[str] | None:
+    return text.split(",") if text else None
 
 
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="cityzones")
+    p.add_argument("--scratch", help="shared folder for intermediate files (default: spark.checkpoint.dir)")
     sub = p.add_subparsers(dest="cmd", required=True)
     lk = sub.add_parser("lookup")
     lk.add_argument("--incidents", required=True)
@@ -54,16 +62,24 @@ def main(argv=None) -> None:
     t = sub.add_parser("train")
     t.add_argument("--dataset", required=True)
     t.add_argument("--model-base", required=True)
-    t.add_argument("--seed", type=int, default=42)
+    t.add_argument("--seed", type=int, default=42, help="of the forest")
+    t.add_argument("--split-keys", help="comma list of columns (default: all text and integer columns)")
     r = sub.add_parser("predict")
     r.add_argument("--dataset", required=True)
     r.add_argument("--models", required=True)
     r.add_argument("--name")
     r.add_argument("--version", help="yyyyMMddHHmmss of a saved version (default: newest)")
-    r.add_argument("--seed", type=int, default=42)
+    r.add_argument("--split-keys", help="as given to train")
     a = p.parse_args(argv)
 
-    spark = build_session(app=f"cityzones-{a.cmd}")
+    spark = build_session(app=f"cityzones-{a.cmd}", default_checkpoint_dir=a.scratch)
+    try:
+        run(spark, a)
+    finally:
+        clear_scratch(spark)
+
+
+def run(spark, a) -> None:
     if a.cmd == "lookup":
         print(zones.run_incident_lookup(spark, a.incidents, a.districts, a.neighborhoods, a.out,
                                         a.name_col, a.district_col, a.max_distance))
@@ -85,11 +101,11 @@ def main(argv=None) -> None:
     elif a.cmd == "dataset":
         print(zones.run_ml_dataset(spark, a.formatted, a.out))
     elif a.cmd == "train":
-        path, rmse = zones.run_training(spark, a.dataset, a.model_base, a.seed)
+        path, rmse = zones.run_training(spark, a.dataset, a.model_base, a.seed, split_keys=_list(a.split_keys))
         print(json.dumps({"model": path, "rmse": rmse}))
     elif a.cmd == "predict":
-        path, rmse = zones.run_prediction(spark, a.dataset, a.models, a.name, seed=a.seed,
-                                          version=a.version)
+        path, rmse = zones.run_prediction(spark, a.dataset, a.models, a.name, version=a.version,
+                                          split_keys=_list(a.split_keys))
         print(json.dumps({"model": path, "rmse": rmse}))
 
 

@@ -51,10 +51,11 @@ from cityzones.plans import ml as ml_plan
 from cityzones.plans.formatters import format_incidents, format_income, format_rent, neighborhood_dim
 from cityzones.plans.indicators import avg_indicators, listing_indicators, population
 from cityzones.plans.ml_dataset import ml_dataset
-from cityzones.schemas import INCIDENT_FIELDS, RENT_DDL, fields
-from cityzones.session import scratch_path
+from cityzones.schemas import INCIDENT_FIELDS, ML_DATASET_COLUMNS, ML_SPLIT_KEYS, RENT_DDL, fields
+from cityzones.session import materialize, scratch_path
 from cityzones.sources.files import (
     read_csv,
+    read_csv_naive,
     read_incidents,
     read_income,
     read_json_lines,
@@ -99,7 +100,8 @@ def landed(builder):
 
 def prepare_landing(spark: SparkSession, d: str) -> None:
     """Write every landing folder the queries read (untimed bench set-up)."""
-    for b in (write_rent_landing, write_lookups, write_income_landing, write_incident_landing):
+    for b in (write_rent_landing, write_lookups, write_income_landing, write_area_income_landing,
+              write_incident_landing):
         b(spark, d)
 
 
@@ -172,10 +174,15 @@ def _geo(spark, d) -> DataFrame:
 
 # ---- landing files -----------------------------------------------------------------
 
+def _with_repeats(df: DataFrame, key: str) -> DataFrame:
+    """Every fifth key's rows twice: sources deliver some records again, exactly as they were."""
+    return df.unionByName(df.where(F.pmod(F.col(key), F.lit(5)) == 0))
+
+
 @landed
 def write_rent_landing(spark, d) -> str:
     """Listing snapshots as nested Parquet, one folder per month."""
-    o = _t(spark, d, "orders")
+    o = _with_repeats(_t(spark, d, "orders"), "o_orderkey")
     c = _t(spark, d, "customer")
     g = _geo(spark, d)
     j = o.join(c, o.o_custkey == c.c_custkey).join(g, F.col("c_nationkey") == g.n_nationkey)
@@ -265,7 +272,8 @@ RENT_LANDING_SQL = f"""
 SELECT {_rent_select_sql()},
        CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
        1 AS day
-FROM orders JOIN customer ON o_custkey = c_custkey
+FROM (SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderkey % 5 = 0) o
+JOIN customer ON o_custkey = c_custkey
 JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
 
 RENT_FLAT_NAMES = [n for n, _ in _rent_flat_columns()]
@@ -345,42 +353,68 @@ def write_lookups(spark, d) -> dict:
     return out
 
 
-@landed
-def write_income_landing(spark, d) -> str:
-    """Income JSON lines: one object per (neighbourhood, year) with its yearly
-    measurement in ``info`` (population = line items, RFD = mean price)."""
+def _yearly(spark, d, *keys) -> DataFrame:
+    """Line items and mean price (RFD) per ``keys`` and year, with the supplier's nation."""
     li = _t(spark, d, "lineitem").select("l_suppkey", "l_shipdate", "l_extendedprice")
     su = _t(spark, d, "supplier").select("s_suppkey", "s_nationkey")
-    per_year = (li.join(su, li.l_suppkey == su.s_suppkey)
-                .groupBy("s_nationkey", F.year("l_shipdate").alias("year"))
-                .agg(F.count(F.lit(1)).alias("pop"),
-                     (F.sum(cents("l_extendedprice").cast("bigint")) / F.count(F.lit(1)) / 100
-                      ).alias("RFD")))
+    return (li.join(su, li.l_suppkey == su.s_suppkey)
+            .groupBy(*keys, F.year("l_shipdate").alias("year"))
+            .agg(F.count(F.lit(1)).alias("pop"),
+                 (F.sum(cents("l_extendedprice").cast("bigint")) / F.count(F.lit(1)) / 100).alias("RFD")))
+
+
+def _income_object(ident, info) -> list:
+    return [ident.alias("_id"), F.replace("n_name", F.lit("_"), F.lit(" ")).alias("neigh_name "),
+            F.col("r_regionkey").cast("string").alias("district_id"), F.col("r_name").alias("district_name"),
+            info.alias("info")]
+
+
+@landed
+def write_income_landing(spark, d) -> str:
+    """Income JSON lines: one object per supplier with its yearly measurements in ``info`` (at most one a year);
+    every third object is delivered twice."""
+    per = _yearly(spark, d, "s_suppkey", "s_nationkey").groupBy("s_suppkey", "s_nationkey").agg(
+        F.collect_list(F.struct("year", "pop", "RFD")).alias("info"))
     g = _geo(spark, d)
-    objs = per_year.join(g, per_year.s_nationkey == g.n_nationkey).select(
-        F.concat_ws("-", F.col("n_nationkey").cast("string"), F.col("year").cast("string")).alias("_id"),
-        F.replace("n_name", F.lit("_"), F.lit(" ")).alias("neigh_name "),
-        F.col("r_regionkey").cast("string").alias("district_id"),
-        F.col("r_name").alias("district_name"),
-        F.array(F.struct("year", "pop", "RFD")).alias("info"),
-    )
+    objs = per.join(g, per.s_nationkey == g.n_nationkey).select(
+        *_income_object(F.col("s_suppkey").cast("string"), F.col("info")))
     path = scratch_path(spark, "income-landing")
-    objs.write.json(path)
+    objs.unionByName(objs.where(F.pmod(F.col("_id").cast("int"), F.lit(3)) == 0)).write.json(path)
     return path
 
 
 FORMATTED_INCOME_SQL = """
 SELECT CAST(year AS VARCHAR) || '_' || CAST(nk AS VARCHAR) AS id, year, pop AS population, RFD,
        CAST(nk AS VARCHAR) AS neighborhood_id
-FROM (SELECT s_nationkey AS nk, CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS pop,
+FROM (SELECT s_suppkey, s_nationkey AS nk, CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS pop,
+             sum(CAST(round(l_extendedprice * 100) AS BIGINT)) / count(*) / 100 AS RFD
+      FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2, 3) agg"""
+
+
+@landed
+def write_area_income_landing(spark, d) -> str:
+    """Income JSON lines of whole neighbourhoods, one object per neighbourhood and year (what the dataset joins)."""
+    per = _yearly(spark, d, "s_nationkey")
+    g = _geo(spark, d)
+    objs = per.join(g, per.s_nationkey == g.n_nationkey).select(*_income_object(
+        F.concat_ws("-", F.col("n_nationkey").cast("string"), F.col("year").cast("string")),
+        F.array(F.struct("year", "pop", "RFD"))))
+    path = scratch_path(spark, "area-income-landing")
+    objs.write.json(path)
+    return path
+
+
+AREA_INCOME_SQL = """
+SELECT year, RFD, CAST(nk AS VARCHAR) AS neighborhood_id
+FROM (SELECT s_nationkey AS nk, CAST(year(l_shipdate) AS INTEGER) AS year,
              sum(CAST(round(l_extendedprice * 100) AS BIGINT)) / count(*) / 100 AS RFD
       FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2) agg"""
 
 
 @landed
 def write_incident_landing(spark, d) -> str:
-    """Incident log CSV files (25 fields, header per file)."""
-    li = _t(spark, d, "lineitem")
+    """Incident log CSV files (25 fields, header per file), some lines with a field too few or too many."""
+    li = _with_repeats(_t(spark, d, "lineitem"), "l_orderkey")
     su = _t(spark, d, "supplier").select("s_suppkey", "s_nationkey")
     g = _geo(spark, d)
     j = li.join(su, li.l_suppkey == su.s_suppkey).join(g, F.col("s_nationkey") == g.n_nationkey)
@@ -403,7 +437,14 @@ def write_incident_landing(spark, d) -> str:
         "carrer": F.col("n_name"),
     }
     rows = j.select(*[filled.get(f, F.lit(None).cast("string")).alias(f) for f in INCIDENT_FIELDS])
-    return write_csv(rows, scratch_path(spark, "incident-landing"))
+    path = write_csv(rows, scratch_path(spark, "incident-landing"))
+    # raw lines: a separator that no line holds keeps their commas as they are
+    raw = [F.coalesce(F.col(f), F.lit("")) for f in INCIDENT_FIELDS]
+    short, long = F.concat_ws(",", *raw[:-1]), F.concat_ws(",", *raw, F.lit("extra"))
+    odd = rows.where(F.col("detall").isin("1", "2")).select(
+        F.when(F.col("detall") == "1", short).otherwise(long).alias(",".join(INCIDENT_FIELDS)))
+    odd.write.mode("append").option("header", True).option("sep", "\u0001").csv(path)
+    return path
 
 
 _INCIDENT_FILLED_SQL = {
@@ -425,7 +466,8 @@ _INCIDENT_FILLED_SQL = {
 INCIDENT_LANDING_SQL = "SELECT " + ", ".join(
     f"{_INCIDENT_FILLED_SQL.get(f, 'CAST(NULL AS VARCHAR)')} AS {f}" for f in INCIDENT_FIELDS
 ) + """
-FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 5 = 0) l
+JOIN supplier ON l_suppkey = s_suppkey
 JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
 
 _INCIDENT_KEPT = [f for f in INCIDENT_FIELDS if f not in ("raw11", "raw12", "raw13", "BARRI")]
@@ -443,9 +485,9 @@ def formatted_rent(spark, d) -> DataFrame:
                        rent_lookup(spark, lk["rent_districts"], lk["rent_neighborhoods"]))
 
 
-def formatted_income(spark, d, lk=None) -> DataFrame:
-    lk = lk or write_lookups(spark, d)
-    return format_income(read_income(spark, write_income_landing(spark, d)),
+def formatted_income(spark, d, landing=write_income_landing) -> DataFrame:
+    lk = write_lookups(spark, d)
+    return format_income(read_income(spark, landing(spark, d)),
                          income_lookup(spark, lk["income_districts"], lk["income_neighborhoods"]))
 
 
@@ -453,7 +495,7 @@ def dataset(spark, d) -> DataFrame:
     lk = write_lookups(spark, d)
     rent = format_rent(read_rent(spark, write_rent_landing(spark, d)),
                        rent_lookup(spark, lk["rent_districts"], lk["rent_neighborhoods"]))
-    return ml_dataset(rent, formatted_income(spark, d, lk))
+    return ml_dataset(rent, formatted_income(spark, d, write_area_income_landing))
 
 
 ML_COLUMNS_SQL = ("r.neighborhoodId, r.year, r.bathrooms, r.rooms, r.country, r.distance, r.district, "
@@ -461,7 +503,7 @@ ML_COLUMNS_SQL = ("r.neighborhoodId, r.year, r.bathrooms, r.rooms, r.country, r.
                   "r.newDevelopmentFinished, r.priceByArea, r.propertyType, r.size, i.RFD")
 ML_DATASET_SQL = f"""
 SELECT {ML_COLUMNS_SQL}
-FROM ({FORMATTED_RENT_SQL}) r JOIN ({FORMATTED_INCOME_SQL}) i
+FROM ({FORMATTED_RENT_SQL}) r JOIN ({AREA_INCOME_SQL}) i
   ON r.neighborhoodId = i.neighborhood_id AND r.year = i.year"""
 
 
@@ -597,6 +639,23 @@ def q_format_incidents_naive(spark, d):
     return format_incidents(raw, incident_lookup(spark, lk["incidents"], naive_split=True))
 
 
+@query("lookup_to_incidents", sql=FORMATTED_INCIDENTS_SQL)
+def q_lookup_to_incidents(spark, d):
+    """The incident lookup built from the raw names, then used to format the incidents: several spellings of a
+    name's district give several lookup rows and still one formatted row per incident."""
+    from cityzones.plans.lookup_builder import build_incident_lookup
+    from cityzones.sources.lookups import shape_incident_lookup
+    raw = read_incidents(spark, write_incident_landing(spark, d))
+    district = F.when(F.col("detall").isin("1", "3"), F.lower("raw11")).otherwise(F.concat("raw11", F.lit(" ")))
+    lookup = build_incident_lookup(
+        not_null(raw, "BARRI").select("BARRI", district.alias("DISTRICTE")),
+        _t(spark, d, "region").select(F.col("r_regionkey").alias("district_id"), F.col("r_name").alias("district_name")),
+        _t(spark, d, "nation").select(F.col("n_nationkey").alias("neighborhood_id"),
+                                     F.col("n_name").alias("neighborhood_name"),
+                                     F.col("n_regionkey").alias("district_id")))
+    return format_incidents(raw, shape_incident_lookup(lookup))
+
+
 NEIGHBORHOOD_DIM_SQL = f"""
 WITH six AS (
   SELECT 0 AS src, CAST(n_nationkey AS VARCHAR) AS neighborhood_id, n_name AS neighborhood_reconciled,
@@ -653,25 +712,23 @@ def q_scan_csv_roundtrip(spark, d):
                                         "c_acctbal double, c_mktsegment string")
 
 
-QUOTED_LINE_SQL = ("'\"' || p_name || ', ' || p_brand || '\",' || p_type || ',' || "
-                   "CAST(p_size AS VARCHAR)")
-
-
-@query("scan_quoted_csv", sql=f"""
-WITH f AS (
-  SELECT p_partkey, list_transform(string_split(
-           regexp_replace({QUOTED_LINE_SQL}, '(".*?),(.*)(")', '\\1\\2'), ','),
-           lambda x: trim(x, '"')) AS a
-  FROM part)
-SELECT p_partkey, CAST(len(a) AS INTEGER) AS n_fields, a[1] AS f0, a[2] AS f1, a[3] AS f2 FROM f""")
+# The parity reader moves the first quoted comma's text apart and splits on every other comma; a name without a
+# comma inside leaves four fields of a quoted line and drops it where five are asked for.
+@query("scan_quoted_csv", sql="""
+SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name || p_brand AS name, p_type,
+       CAST(p_size AS VARCHAR) AS p_size
+FROM part WHERE p_size % 7 <> 0""")
 def q_scan_quoted_csv(spark, d):
+    """Raw CSV lines with a quoted comma; lines of another field count (every seventh size) are dropped."""
     p = _t(spark, d, "part")
-    line = F.concat(F.lit('"'), "p_name", F.lit(", "), "p_brand", F.lit('",'), "p_type", F.lit(","),
-                    F.col("p_size").cast("string"))
-    arr = strip_char_all(split_fields(patch_quoted_comma(line)))
-    return p.select("p_partkey", arr.alias("a")).select(
-        "p_partkey", F.size("a").alias("n_fields"),
-        *[F.get("a", i).alias(f"f{i}") for i in range(3)])
+    line = F.concat(F.col("p_partkey").cast("string"), F.lit(',"'), "p_name", F.lit(","), "p_brand", F.lit('",'), "p_type",
+                    F.lit(","), F.col("p_size").cast("string"),
+                    F.when(F.pmod("p_size", F.lit(7)) == 0, ",extra").otherwise(""))
+    path = scratch_path(spark, "parts-quoted")
+    header = "p_partkey,name,p_type,p_size"
+    p.select(line.alias(header)).write.option("header", True).option("sep", "\u0001").option("quote", "\u0002").csv(path)
+    rows = read_csv_naive(spark, path, ["p_partkey", "name", "p_type", "p_size"], patch_quoted=True)
+    return rows
 
 
 @query("scan_parquet_schema", sql="""
@@ -1059,16 +1116,12 @@ def q_str_remove_quotes(spark, d):
     return _t(spark, d, "documents").select("doc_id", remove_char("text").alias("text"))
 
 
-@query("str_strip_quotes", sql="""
-WITH f AS (SELECT p_partkey, list_transform(string_split('"' || p_name || '","' || p_brand || '"', ','),
-                                            lambda x: trim(x, '"')) AS a FROM part)
-SELECT p_partkey, a[1] AS f0, a[2] AS f1 FROM f""")
+@query("str_strip_quotes", sql="SELECT p_name AS f0, p_brand AS f1 FROM part")
 def q_str_strip_quotes(spark, d):
-    p = _t(spark, d, "part")
-    line = F.concat(F.lit('"'), "p_name", F.lit('","'), "p_brand", F.lit('"'))
-    a = strip_char_all(split_fields(line))
-    return p.select("p_partkey", a.alias("a")).select("p_partkey", F.get("a", 0).alias("f0"),
-                                                       F.get("a", 1).alias("f1"))
+    """A CSV file whose fields are all quoted, split on commas and stripped of its quotes."""
+    path = scratch_path(spark, "parts-all-quoted")
+    _t(spark, d, "part").select("p_name", "p_brand").write.option("header", True).option("quoteAll", True).csv(path)
+    return read_csv_naive(spark, path, ["f0", "f1"])
 
 
 @query("cast_int", sql="""
@@ -1099,14 +1152,15 @@ def q_normalize_name(spark, d):
 # Machine learning
 # =====================================================================================
 
-SPLIT_BUCKET_SQL = "CAST(('0x' || substring(md5({x}), 1, 8))::UBIGINT % 100 AS BIGINT)"
+SPLIT_VALUE_SQL = "CAST(('0x' || substring(md5({x}), 1, 8))::UBIGINT AS BIGINT)"
+SPLIT_CUT = ml_plan.split_cut(0.7)
 
 
 @query("ml_hash_split", sql=f"""
-SELECT o_orderkey, {SPLIT_BUCKET_SQL.format(x='CAST(o_orderkey AS VARCHAR)')} < 70 AS is_train FROM orders""")
+SELECT o_orderkey, {SPLIT_VALUE_SQL.format(x='CAST(o_orderkey AS VARCHAR)')} < {SPLIT_CUT} AS is_train FROM orders""")
 def q_ml_hash_split(spark, d):
     o = _t(spark, d, "orders")
-    return o.select("o_orderkey", (ml_plan.split_bucket(["o_orderkey"]) < 70).alias("is_train"))
+    return o.select("o_orderkey", (ml_plan.split_value(["o_orderkey"]) < SPLIT_CUT).alias("is_train"))
 
 
 @query("ml_impute_mean", sql="""
@@ -1114,10 +1168,8 @@ SELECT d.doc_id, coalesce(l.quality, CAST(trunc((SELECT avg(quality) FROM labels
           JOIN documents d2 ON l2.doc_id = d2.doc_id)) AS INTEGER)) AS quality
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
 def q_ml_impute_mean(spark, d):
-    from pyspark.ml.feature import Imputer
     j = _t(spark, d, "documents").select("doc_id").join(_t(spark, d, "labels"), "doc_id", "left")
-    model = Imputer(inputCols=["quality"], outputCols=["quality"], strategy="mean").fit(j)
-    return model.transform(j).select("doc_id", "quality")
+    return ml_plan.mean_imputer(["quality"]).fit(j).transform(j).select("doc_id", "quality")
 
 
 ML_NUMERIC = ["priceByArea", "size", "RFD"]
@@ -1167,13 +1219,11 @@ SELECT t.neighborhoodId, CAST(n.k - 1 AS INTEGER) AS onehot_size,
        CAST(CASE WHEN idx.idx < n.k - 1 THEN 1 ELSE 0 END AS DOUBLE) AS onehot_sum
 FROM ({ML_DATASET_SQL}) t JOIN idx ON t.neighborhoodId = idx.v CROSS JOIN n""")
 def q_ml_one_hot(spark, d):
-    from pyspark.ml.feature import OneHotEncoder
     df = dataset(spark, d)
     (ix,) = ml_plan.fit_indexers(df, ["neighborhoodId"])
-    enc = OneHotEncoder(inputCols=["neighborhoodId_index"], outputCols=["v"], dropLast=True)
     t = ix.transform(df)
-    out = enc.fit(t).transform(t)
-    arr = vector_to_array(F.col("v"))
+    out = ml_plan.one_hot_encoder(["neighborhoodId"]).fit(t).transform(t)
+    arr = vector_to_array(F.col("neighborhoodId_encoded"))
     return out.select(
         "neighborhoodId", F.size(arr).alias("onehot_size"),
         (F.array_position(arr, 1.0).cast("int") - 1).alias("onehot_hot"),
@@ -1188,51 +1238,71 @@ def q_ml_rmse(spark, d):
     return rmse(df, "price", "guess").select(F.round("rmse", 3).alias("rmse"))
 
 
+_KEYS_SQL = "concat_ws('|', " + ", ".join(f"CAST({k} AS VARCHAR)" for k in ML_SPLIT_KEYS) + ")"
+TEST_ROWS_SQL = (f"SELECT neighborhoodId, year, price FROM ({ML_DATASET_SQL}) t "
+                 f"WHERE {SPLIT_VALUE_SQL.format(x=_KEYS_SQL)} >= {SPLIT_CUT}")
+
+
 def _ml_train(spark, d, fresh: bool = False):
-    """The fitted model of the test-data dataset.  ``ml_train`` always fits
-    (``fresh``, so timing it measures training); the save / list / load /
-    evaluate queries reuse its fit within the application."""
+    """``(model, test predictions, rmse, train rows)`` of the test-data dataset.  ``ml_train`` always fits
+    (``fresh``, so timing it measures training); the save / list / load / evaluate queries reuse its fit within
+    the application."""
     key = (spark.sparkContext.applicationId, d.rstrip("/"), "_ml_train")
     if fresh or key not in _LANDED:
-        df = dataset(spark, d).na.drop()
-        _LANDED[key] = ml_plan.train(
-            df, split_keys=["neighborhoodId", "year", "price", "priceByArea", "size"], seed=7)
+        df = materialize(dataset(spark, d).na.drop(), "ml-rows")
+        train, _ = ml_plan.hash_split(df, ML_SPLIT_KEYS)
+        _LANDED[key] = (*ml_plan.train(df, split_keys=ML_SPLIT_KEYS, seed=7, write_once=False), train)
     return _LANDED[key]
 
 
-@query("ml_train")
+@query("ml_train", sql=f"SELECT *, true AS in_label_range FROM ({TEST_ROWS_SQL}) r")
 def q_ml_train(spark, d):
-    _, predictions, _ = _ml_train(spark, d, fresh=True)
-    return predictions.select("neighborhoodId", "year", "price", "prediction")
+    """The test rows; a forest's prediction is a mean of training labels, so it lies in their range."""
+    _, predictions, _, train = _ml_train(spark, d, fresh=True)
+    low, high = train.agg(F.min("price"), F.max("price")).first()
+    return predictions.select("neighborhoodId", "year", "price",
+                              F.col("prediction").between(low, high).alias("in_label_range"))
 
 
-@query("ml_model_roundtrip")
+@query("ml_model_roundtrip", sql=f"SELECT *, true AS same_prediction FROM ({TEST_ROWS_SQL}) r")
 def q_ml_model_roundtrip(spark, d):
-    model, _, _ = _ml_train(spark, d)
-    base = scratch_path(spark, "models") + "/price_forest"
-    path = ml_plan.save_versioned(model, base, "20240101000000")
-    loaded = ml_plan.load_model(path)
-    df = dataset(spark, d).na.drop()
-    _, test = ml_plan.hash_split(df, ["neighborhoodId", "year", "price", "priceByArea", "size"])
-    return loaded.transform(test).select("neighborhoodId", "year", "price", "prediction")
+    """Save, list, load the newest version, predict: the same as the model in memory."""
+    model, predictions, _, _ = _ml_train(spark, d)
+    root = scratch_path(spark, "models")
+    ml_plan.save_versioned(model, f"{root}/price_forest", "20240101000000")
+    loaded = ml_plan.load_model(ml_plan.latest_model_path(spark, root, "price_forest"))
+    kept = predictions.select(*ML_DATASET_COLUMNS, F.col("prediction").alias("in_memory"))
+    return loaded.transform(kept).select("neighborhoodId", "year", "price",
+                                         (F.col("prediction") == F.col("in_memory")).alias("same_prediction"))
 
 
-@query("ml_model_versions")
+@query("ml_model_versions", sql=f"""
+SELECT 'price_forest' AS name, v.version, (SELECT count(*) FROM ({TEST_ROWS_SQL}) r) AS n_predicted
+FROM (VALUES ('20240101000000'), ('20240102000000')) v(version)""")
 def q_ml_model_versions(spark, d):
-    model, _, _ = _ml_train(spark, d)
+    """Every saved version found by listing, loaded from its path and applied to the test rows."""
+    model, predictions, _, _ = _ml_train(spark, d)
     root = scratch_path(spark, "models")
     for v in ("20240101000000", "20240102000000"):
         ml_plan.save_versioned(model, f"{root}/price_forest", v)
-    return ml_plan.list_model_versions(spark, root)
+    test, out = predictions.select(*ML_DATASET_COLUMNS), None
+    for name, version, path in ml_plan.list_model_versions(spark, root).select("name", "version", "path").collect():
+        one = ml_plan.load_model(path).transform(test).agg(F.count("prediction").alias("n_predicted")).select(
+            F.lit(name).alias("name"), F.lit(version).alias("version"), "n_predicted")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
-@query("ml_evaluate")
+@query("ml_evaluate", sql=f"SELECT count(*) AS n_rows, true AS rmse_agrees, true AS below_deviation FROM ({TEST_ROWS_SQL}) r")
 def q_ml_evaluate(spark, d):
-    model, _, _ = _ml_train(spark, d)
+    """The newest saved version evaluated on the test rows: the evaluator's error is the root of the mean squared
+    error and smaller than the label's own deviation (a model that learnt something)."""
+    model, predictions, _, _ = _ml_train(spark, d)
     root = scratch_path(spark, "models")
     ml_plan.save_versioned(model, f"{root}/price_forest", "20240101000000")
     latest = ml_plan.latest_model_path(spark, root, "price_forest")
-    df = dataset(spark, d).na.drop()
-    _, test = ml_plan.hash_split(df, ["neighborhoodId", "year", "price", "priceByArea", "size"])
-    predictions, _ = ml_plan.evaluate(ml_plan.load_model(latest), test)
-    return predictions.select("neighborhoodId", "year", "price", "prediction")
+    scored, error = ml_plan.evaluate(ml_plan.load_model(latest), predictions.select(*ML_DATASET_COLUMNS))
+    own = F.sqrt(F.avg(F.pow(F.col("price") - F.col("prediction"), 2)))
+    return scored.agg(F.count(F.lit(1)).alias("n_rows"),
+                      (F.abs(own - F.lit(error)) <= 1e-9 * F.lit(error)).alias("rmse_agrees"),
+                      (F.lit(error) < F.stddev_pop("price")).alias("below_deviation"))

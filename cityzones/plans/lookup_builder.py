@@ -27,7 +27,8 @@ def build_incident_lookup(names: DataFrame, districts: DataFrame, neighborhoods:
                            "district_name", max_distance=max_distance, out_id="district_id",
                            out_name="district_n_reconciled", out_distance="_dd",
                            materialize=False)
-    with_d = pairs.join(dist, district_col, "left")
+    # used three times below: computed once
+    with_d = cut_lineage(pairs.join(dist, district_col, "left"))
     neigh = reconcile_names(with_d.where(F.col("district_id").isNotNull()).select(name_col, "district_id"),
                             neighborhoods, name_col, "neighborhood_id", "neighborhood_name",
                             parent="district_id", canon_parent="district_id",

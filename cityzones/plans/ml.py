@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructType
 
 from cityzones.schemas import ML_CATEGORICAL, ML_DATASET_DDL, ML_EXCLUDED, ML_LABEL
+from cityzones.session import materialize
 from cityzones.sources.files import read_csv
 from cityzones.sources.sinks import save_model
 
@@ -36,18 +36,28 @@ def load_dataset(spark: SparkSession, path: str, infer: bool = False,
     return df.na.drop() if drop_nulls else df
 
 
-def split_bucket(keys: list[str]) -> Column:
-    """Stable bucket 0..99 of a row from its key columns (md5 based)."""
+SPLIT_RANGE = 2 ** 32
+
+
+def split_value(keys: list[str]) -> Column:
+    """Stable number in [0, 2**32) of a row from its key columns (md5 based).
+
+    Keys should be text, integers or booleans: the text form of a double
+    differs between engines and formats."""
     digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
-    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), F.lit(100))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+
+
+def split_cut(train_fraction: float) -> int:
+    """Rows whose split value is below this are for training."""
+    return round(train_fraction * SPLIT_RANGE)
 
 
 def hash_split(df: DataFrame, keys: list[str], train_fraction: float = 0.7):
     """Deterministic train / test split: the same row always lands on the same
     side, across runs, partitionings and recomputations after executor loss."""
-    cut = int(round(train_fraction * 100))
-    b = split_bucket(keys)
-    return df.where(b < cut), df.where(b >= cut)
+    cut, value = split_cut(train_fraction), split_value(keys)
+    return df.where(value < cut), df.where(value >= cut)
 
 
 def random_split(df: DataFrame, train_fraction: float = 0.7, seed: int = 42):
@@ -79,6 +89,17 @@ def fit_indexers(df: DataFrame, categorical: list[str], handle_invalid: str = "e
                           handleInvalid=handle_invalid).fit(df)]
 
 
+def mean_imputer(numeric: list[str]) -> Imputer:
+    """Nulls and NaN become the column's mean, in place."""
+    return Imputer(inputCols=list(numeric), outputCols=list(numeric), strategy="mean")
+
+
+def one_hot_encoder(categorical: list[str]) -> OneHotEncoder:
+    """``<c>_index`` -> ``<c>_encoded``, the last category dropped."""
+    return OneHotEncoder(inputCols=[f"{c}_index" for c in categorical],
+                         outputCols=[f"{c}_encoded" for c in categorical], dropLast=True)
+
+
 def feature_stages(df: DataFrame, label: str = ML_LABEL, categorical=ML_CATEGORICAL,
                    exclude=ML_EXCLUDED, include_categorical: bool = False) -> list:
     """Preprocessing stages: mean imputer (in place), numeric and boolean
@@ -87,14 +108,13 @@ def feature_stages(df: DataFrame, label: str = ML_LABEL, categorical=ML_CATEGORI
     numeric, boolean = select_features(df.schema, label, exclude)
     stages = []
     if numeric:
-        stages.append(Imputer(inputCols=numeric, outputCols=numeric, strategy="mean"))
+        stages.append(mean_imputer(numeric))
         stages.append(VectorAssembler(inputCols=numeric, outputCol="numeric_features"))
     if boolean:
         stages.append(VectorAssembler(inputCols=boolean, outputCol="boolean_features"))
     stages += fit_indexers(df, categorical)
     if categorical:
-        stages.append(OneHotEncoder(inputCols=[f"{c}_index" for c in categorical],
-                                    outputCols=[f"{c}_encoded" for c in categorical]))
+        stages.append(one_hot_encoder(categorical))
     parts = (["numeric_features"] if numeric else []) + (["boolean_features"] if boolean else [])
     if include_categorical:
         parts += [f"{c}_encoded" for c in categorical]
@@ -106,26 +126,16 @@ def feature_stages(df: DataFrame, label: str = ML_LABEL, categorical=ML_CATEGORI
 
 def train(df: DataFrame, label: str = ML_LABEL, categorical=ML_CATEGORICAL, exclude=ML_EXCLUDED,
           split_keys: list[str] | None = None, train_fraction: float = 0.7, num_trees: int = 10,
-          seed: int = 42, include_categorical: bool = False, persist: bool = True):
+          seed: int = 42, include_categorical: bool = False, write_once: bool = True):
     """Fit preprocessing + random forest on the train split, evaluate RMSE on
     the test split.  Returns ``(model, test_predictions, rmse)``.
 
     With ``split_keys`` the split is the stable hash split, else seeded random.
-    ``persist`` keeps the input in memory / disk while the stages make their
-    passes (indexers, imputer, encoder, forest, evaluation) instead of
-    recomputing its lineage for each; lost blocks are recomputed."""
-    if persist:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _train(df, label, categorical, exclude, split_keys, train_fraction, num_trees, seed,
-                      include_categorical)
-    finally:
-        if persist:
-            df.unpersist()
-
-
-def _train(df, label, categorical, exclude, split_keys, train_fraction, num_trees, seed,
-           include_categorical):
+    ``write_once`` writes the input to the shared scratch folder first, so the
+    stages' passes (indexers, imputer, encoder, forest, evaluation) and the
+    returned predictions read it instead of recomputing its lineage."""
+    if write_once:
+        df = materialize(df, "training")
     if split_keys:
         tr, te = hash_split(df, split_keys, train_fraction)
     else:

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +16,7 @@ from cityzones.plans.formatters import format_incidents, format_income, format_r
 from cityzones.plans.indicators import export_indicators, indicators_from_daily, population, rent_daily
 from cityzones.plans.ml_dataset import ml_dataset
 from cityzones.plans.lookup_builder import build_incident_lookup
-from cityzones.schemas import FORMATTED_PARTITIONS, INCIDENT_DROPPED, INCIDENT_FIELDS
+from cityzones.schemas import FORMATTED_PARTITIONS, INCIDENT_DROPPED, INCIDENT_FIELDS, ML_SPLIT_KEYS
 from cityzones.sources.files import read_csv_columns, read_incidents, read_income, read_rent
 from cityzones.sources.lookups import incident_lookup, income_lookup, rent_lookup
 from cityzones.session import cut_lineage
@@ -194,27 +193,24 @@ def run_ml_dataset(spark: SparkSession, formatted_root: str, out_csv: str) -> st
 
 def run_training(spark: SparkSession, dataset_csv: str, model_base: str, seed: int = 42,
                  version: str | None = None, split_keys: list[str] | None = None):
-    """Train and save a new model version; returns ``(path, rmse)``."""
+    """Train and save a new model version; returns ``(path, rmse)``.
+
+    The split is by the dataset's text and integer columns (or ``split_keys``):
+    a row is on the same side in every run and every partitioning, also in
+    ``run_prediction``."""
     df = ml_plan.load_dataset(spark, dataset_csv)
-    model, _, rmse = ml_plan.train(df, seed=seed, split_keys=split_keys)
+    model, _, rmse = ml_plan.train(df, seed=seed, split_keys=split_keys or ML_SPLIT_KEYS)
     return ml_plan.save_versioned(model, model_base, version), rmse
 
 
 def run_prediction(spark: SparkSession, dataset_csv: str, models_root: str, name: str | None = None,
-                   path: str | None = None, split_keys: list[str] | None = None, seed: int = 42,
+                   path: str | None = None, split_keys: list[str] | None = None,
                    version: str | None = None):
     """Re-evaluate a saved version (default: the newest; or ``version``) on
-    the test split; returns ``(model path, rmse)``."""
+    the test split of ``run_training``; returns ``(model path, rmse)``."""
     chosen = path or ml_plan.latest_model_path(spark, models_root, name, version)
     if chosen is None:
         raise FileNotFoundError(f"no saved model below {models_root}")
-    df = ml_plan.load_dataset(spark, dataset_csv).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if split_keys:
-            _, test = ml_plan.hash_split(df, split_keys)
-        else:
-            _, test = ml_plan.random_split(df, 0.7, seed)
-        _, rmse = ml_plan.evaluate(ml_plan.load_model(chosen), test)
-    finally:
-        df.unpersist()
+    _, test = ml_plan.hash_split(ml_plan.load_dataset(spark, dataset_csv), split_keys or ML_SPLIT_KEYS)
+    _, rmse = ml_plan.evaluate(ml_plan.load_model(chosen), test)
     return chosen, rmse

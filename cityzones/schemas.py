@@ -131,6 +131,8 @@ def struct(ddl: str) -> StructType:
 
 RENT_COLUMNS = field_names(RENT_DDL)
 ML_DATASET_COLUMNS = field_names(ML_DATASET_DDL)
+# Dataset columns whose text form is the same everywhere: the default keys of the train / test split.
+ML_SPLIT_KEYS = [n for n, t in fields(ML_DATASET_DDL) if t in ("string", "int", "bigint")]
 
 
 # Partition columns of the formatted tables, the same for batch and incremental runs.

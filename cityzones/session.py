@@ -49,15 +49,18 @@ def build_session(
 def ensure_checkpoint_dir(spark: SparkSession, default: str | None = None) -> str:
     """Return the session's reliable checkpoint folder.
 
-    The folder named by ``spark.checkpoint.dir`` wins.  Only when the session
-    names none is one set: ``default`` (tests), else a folder below the SQL
-    warehouse directory, which a cluster keeps on shared storage."""
+    The folder named by ``spark.checkpoint.dir`` wins, then ``default``.  A
+    local-mode session without either uses a folder below its warehouse; on a
+    cluster that might be the driver's own disk, so there a shared folder must
+    be named."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None) or default
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         warehouse = spark.conf.get("spark.sql.warehouse.dir")
         configured = f"{warehouse.rstrip('/')}/_checkpoints"
     sc.setCheckpointDir(configured)
@@ -70,6 +73,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/cityzones-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove everything ``scratch_path`` gave this session (call when no result is read any more)."""
+    root = spark.sparkContext.getCheckpointDir()
+    if root:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/cityzones-scratch")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet below the scratch folder and read it back.
 
