@@ -33,8 +33,8 @@ from cityzones.llm.hashing import mix, powers, prefix_sums
 
 DEPTH = 50
 GRAM = 18
-BLOCK_BYTES = 4_000_000
-TILE = 1 << 20
+BLOCK_BYTES = 2_000_000
+TILE = 1 << 18
 LEAST_BUCKETS = 64
 _U = np.uint64
 _KEY_BYTES = 5
