@@ -28,9 +28,9 @@ from cityzones.llm.hashing import mix
 from cityzones.session import scratch_path
 
 END_ID = 2
-TASK_BYTES = 32_000_000    # of text per task
-CHUNK_CHARS = 8_000_000    # encoded at once
-SHARD_IDS = 4_000_000      # a shard closes after the document that reaches this
+TASK_BYTES = 16_000_000    # of text per task
+CHUNK_CHARS = 2_000_000    # encoded at once
+SHARD_IDS = 2_000_000      # a shard closes after the document that reaches this
 GAMMA = 2.0
 SHARD = ("part int, seq int, first_key bigint, last_key bigint, n_docs bigint, n_ids bigint, width int, "
          "payload binary, keys binary, index binary")

@@ -20,7 +20,7 @@ from tokenizers import Tokenizer, normalizers, pre_tokenizers
 # Texts with other characters than these take the library's own path.  Below U+0180 every character is its own normal
 # form, lower case has the same class, and two UTF-8 bytes at most.
 _PLAIN = re.compile("[\t\n\r\x20-\x7e¡-įĲ-ňŊ-ž]*")
-CACHE_PIECES = 1_000_000  # pieces remembered per worker; forgetting them only costs encoding them again
+CACHE_PIECES = 300_000  # pieces remembered per worker; forgetting them only costs encoding them again
 
 _SPACE, _LETTER, _DIGIT, _SIGN = range(4)
 
@@ -101,8 +101,8 @@ class Encoder:
         at = np.flatnonzero(start & solid)
         if not len(at):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        kept = np.cumsum(solid)  # bytes that are not white space, up to and with each byte
-        offsets = np.concatenate([kept[at] - 1, kept[-1:]]).astype(np.int32)
+        kept = np.cumsum(solid, dtype=np.int32)  # bytes that are not white space, up to and with each byte
+        offsets = np.concatenate([kept[at] - 1, kept[-1:]])
         pieces = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(buf[solid])])
         coded = pieces.dictionary_encode()
         which = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
