@@ -13,6 +13,9 @@ bucket no list of all pairs is made: members are compared with one hub, and
 only buckets whose members still lie in different components are looked at
 again, first with another hub, then exhaustively, outsiders against the rest.
 Pairs inside one component need no test, so no link between components is lost.
+The last comparison happens inside the join: besides the estimate, each set's
+bitmap bounds the overlap from above (a set bit that the other set lacks is at
+least one shingle it lacks), so only pairs that may well be links become rows.
 """
 
 from __future__ import annotations
@@ -34,7 +37,8 @@ PERCENT = 75           # least similarity
 BAND_ROWS, BANDS = 4, 40
 PERMUTATIONS = BAND_ROWS * BANDS
 BITS = 4               # retained of each minimum
-LEAST_ESTIMATE = 0.50  # 0.75 less six standard errors of the estimate
+LEAST_ESTIMATE = 0.53  # 0.75 less six standard errors of the estimate
+BITMAP_WORDS = 32      # 64-bit words of a set's bitmap
 CHUNK_BYTES = 4_000_000
 _FACTORS = np.random.default_rng(4321).integers(0, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _TILE = 1 << 16
@@ -140,6 +144,29 @@ def _confirm(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield f.loc[yes, ["a", "b"]]
 
 
+def _mark(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Set size and bitmap of every node's shingle set."""
+    width = np.uint64(64 * BITMAP_WORDS)
+    for f in frames:
+        raws, rows = _raw(f["text"]), []
+        for a, b in _chunks(raws):
+            for x in distinct(*shingles(raws[a:b], WORDS)):
+                bits = np.zeros(64 * BITMAP_WORDS, np.uint8)
+                bits[((x >> np.uint64(32)) % width).astype(np.int64)] = 1
+                rows.append((len(x), np.packbits(bits).view(np.int64)))
+        yield pd.DataFrame({"node": f["node"].array, "n": [n for n, _ in rows], "bits": [b for _, b in rows]})
+
+
+def _may_link(n_x: Column, bits_x: Column, n_y: Column, bits_y: Column) -> Column:
+    """False only for sets that cannot be similar enough, by an upper bound of their overlap."""
+    def lacking(a: Column, b: Column) -> Column:
+        return F.aggregate(F.zip_with(a, b, lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))), F.lit(0),
+                           lambda total, k: total + k)
+
+    overlap = F.least(n_x - lacking(bits_x, bits_y), n_y - lacking(bits_y, bits_x))
+    return let(overlap, lambda o: 100 * o >= PERCENT * (n_x + n_y - o))
+
+
 def _pairs(a: str, b: str) -> list[Column]:
     return [F.greatest(a, b).alias("a"), F.least(a, b).alias("b")]
 
@@ -149,7 +176,11 @@ def _links(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
     sig = reps.select("node", "signature")
     near = (pairs.distinct().join(sig.toDF("a", "sa"), "a").join(sig.toDF("b", "sb"), "b")
             .where(estimate(F.col("sa"), F.col("sb")) >= LEAST_ESTIMATE).select("a", "b"))
-    near = materialize(near, "near-pairs")
+    return _confirmed(near, texts)
+
+
+def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    near = materialize(pairs, "near-pairs")
     t = texts.select("node", "text")
     both = near.join(t.toDF("a", "text_a"), "a").join(t.toDF("b", "text_b"), "b")
     return materialize(both.select("a", "b", "text_a", "text_b").mapInPandas(_confirm, "a bigint, b bigint"), "near-links")
@@ -196,12 +227,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = links.unionByName(more)
     roots = materialize(components(links, "a", "b"), "near-roots")
 
-    rest = materialize(_mixed(again, roots), "near-mixed")
-    per = rest.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
-    main = per.groupBy("bucket").agg(F.max_by("root", "n").alias("main"))
-    outside = rest.join(main, "bucket").where("root != main").select("bucket", F.col("node").alias("x"), F.col("root").alias("xr"))
-    cross = outside.join(rest, "bucket").where("root != xr").select(*_pairs("x", "node"))
-    more = _links(cross, reps, texts)
+    rest = _mixed(again, roots)
+    marks = rest.select("node").distinct().join(texts, "node").select("node", "text").mapInPandas(
+        _mark, "node bigint, n bigint, bits array<bigint>")
+    marks = materialize(marks.join(reps.select("node", "signature"), "node"), "near-marks")
+    rest = materialize(rest.join(marks, "node"), "near-mixed")
+    per = rest.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("members"))
+    main = per.groupBy("bucket").agg(F.max_by("root", F.struct("members", "root")).alias("main"))
+    outside = rest.join(main, "bucket").where("root != main").select(
+        "bucket", *[F.col(c).alias(f"x_{c}") for c in ("node", "root", "n", "bits", "signature")])
+    close = ((outside["bucket"] == rest["bucket"]) & (F.col("x_root") != F.col("root"))
+             & (estimate(F.col("x_signature"), F.col("signature")) >= LEAST_ESTIMATE)
+             & _may_link(F.col("x_n"), F.col("x_bits"), F.col("n"), F.col("bits")))
+    more = _confirmed(outside.join(rest, close).select(*_pairs("x_node", "node")).distinct(), texts)
     roots = materialize(components(links.unionByName(more), "a", "b"), "near-roots")
 
     named = reps.join(roots, "node", "left").select("digest", "doc_id", F.coalesce("root", "node").alias("root"))
