@@ -21,7 +21,7 @@ import argparse
 import json
 
 from cityzones.plans import zones
-from cityzones.session import build_session, clear_scratch
+from cityzones.session import build_session, clear_scratch, scratch_mark
 
 
 def _list(text: str | None) -> list[str] | None:
@@ -73,10 +73,11 @@ def main(argv=None) -> None:
     a = p.parse_args(argv)
 
     spark = build_session(app=f"cityzones-{a.cmd}", default_checkpoint_dir=a.scratch)
+    mark = scratch_mark()
     try:
         run(spark, a)
     finally:
-        clear_scratch(spark)
+        clear_scratch(spark, mark)
 
 
 def run(spark, a) -> None:

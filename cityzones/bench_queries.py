@@ -52,7 +52,7 @@ from cityzones.plans.formatters import format_incidents, format_income, format_r
 from cityzones.plans.indicators import avg_indicators, listing_indicators, population
 from cityzones.plans.ml_dataset import ml_dataset
 from cityzones.schemas import INCIDENT_FIELDS, ML_DATASET_COLUMNS, ML_SPLIT_KEYS, RENT_DDL, fields
-from cityzones.session import materialize, scratch_path
+from cityzones.session import cut_lineage, scratch_path
 from cityzones.sources.files import (
     read_csv,
     read_csv_naive,
@@ -543,7 +543,6 @@ def q_listing_indicators(spark, d):
 
 def _shared_scan(spark, d):
     from cityzones.plans.indicators import indicators_from_daily, rent_daily
-    from cityzones.session import cut_lineage
     daily = cut_lineage(rent_daily(rent_rows(spark, d)))
     return indicators_from_daily(income_rows(spark, d), incident_rows(spark, d), daily)
 
@@ -1249,7 +1248,7 @@ def _ml_train(spark, d, fresh: bool = False):
     the application."""
     key = (spark.sparkContext.applicationId, d.rstrip("/"), "_ml_train")
     if fresh or key not in _LANDED:
-        df = materialize(dataset(spark, d).na.drop(), "ml-rows")
+        df = cut_lineage(dataset(spark, d).na.drop())
         train, _ = ml_plan.hash_split(df, ML_SPLIT_KEYS)
         _LANDED[key] = (*ml_plan.train(df, split_keys=ML_SPLIT_KEYS, seed=7, write_once=False), train)
     return _LANDED[key]

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructType
 
 from cityzones.schemas import ML_CATEGORICAL, ML_DATASET_DDL, ML_EXCLUDED, ML_LABEL
-from cityzones.session import materialize
+from cityzones.session import cut_lineage
 from cityzones.sources.files import read_csv
 from cityzones.sources.sinks import save_model
 
@@ -131,11 +131,13 @@ def train(df: DataFrame, label: str = ML_LABEL, categorical=ML_CATEGORICAL, excl
     the test split.  Returns ``(model, test_predictions, rmse)``.
 
     With ``split_keys`` the split is the stable hash split, else seeded random.
-    ``write_once`` writes the input to the shared scratch folder first, so the
+    ``write_once`` checkpoints the input to the shared folder first, so the
     stages' passes (indexers, imputer, encoder, forest, evaluation) and the
-    returned predictions read it instead of recomputing its lineage."""
+    returned predictions read it instead of recomputing its lineage.  A
+    checkpoint keeps the partitions as they were (the forest's sampling
+    depends on them)."""
     if write_once:
-        df = materialize(df, "training")
+        df = cut_lineage(df)
     if split_keys:
         tr, te = hash_split(df, split_keys, train_fraction)
     else:

@@ -24,6 +24,9 @@ BASE_CONF = {
 }
 
 
+_GIVEN: list[str] = []  # scratch folders of this process, oldest first
+
+
 def build_session(
     master: str | None = None,
     app: str = "cityzones",
@@ -70,15 +73,23 @@ def ensure_checkpoint_dir(spark: SparkSession, default: str | None = None) -> st
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)
-    return f"{root.rstrip('/')}/cityzones-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    _GIVEN.append(f"{root.rstrip('/')}/cityzones-scratch/{name}-{uuid.uuid4().hex[:12]}")
+    return _GIVEN[-1]
+
+
+def scratch_mark() -> int:
+    """How many scratch folders were given out so far (for ``clear_scratch``)."""
+    return len(_GIVEN)
 
 
-def clear_scratch(spark: SparkSession) -> None:
-    """Remove everything ``scratch_path`` gave this session (call when no result is read any more)."""
-    root = spark.sparkContext.getCheckpointDir()
-    if root:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/cityzones-scratch")
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def clear_scratch(spark: SparkSession, since: int = 0) -> None:
+    """Remove the scratch folders given out after ``since``; call it when no
+    result that reads them is used any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name in _GIVEN[since:]:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+    del _GIVEN[since:]
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

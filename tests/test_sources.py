@@ -56,3 +56,42 @@ def test_csv_fields(spark):
     from cityzones.sources.files import csv_fields
     df = spark.createDataFrame([('a,"b, c","d""e",,""',)], "v string")
     assert df.select(csv_fields("v").alias("f")).first()["f"] == ["a", "b, c", 'd"e', None, None]
+
+
+def test_strict_csv_drops_malformed_rows_under_any_selection(spark, tmp_dir):
+    import pytest
+
+    from cityzones.sources.files import read_csv_strict
+    d = _local(f"{tmp_dir}/strict")
+    os.makedirs(d)
+    with open(f"{d}/a.csv", "w") as f:
+        f.write('a,b,c\n1,2,3\n4,5\n6,7,8,9\n10,"x, y",12\n')
+    df = read_csv_strict(spark, f"{tmp_dir}/strict", ["a", "b", "c"])
+    assert rows(df) == [("1", "2", "3"), ("10", "x, y", "12")]
+    assert rows(df.select("b")) == [("2",), ("x, y",)]
+    assert rows(df.select("c", "a")) == [("12", "10"), ("3", "1")]
+    assert df.count() == 2
+    read_csv_strict(spark, f"{tmp_dir}/strict", ["a", "b", "c"], check_header=True).collect()
+    with pytest.raises(Exception):
+        read_csv_strict(spark, f"{tmp_dir}/strict", ["a", "c", "b"], check_header=True).collect()
+
+
+def test_json_value_of_another_type_fails(spark, tmp_dir):
+    import pytest
+    d = _local(f"{tmp_dir}/json-bad")
+    os.makedirs(d)
+    with open(f"{d}/x.json", "w") as f:
+        f.write('{"a": "1", "b": "1.234"}\n')
+    with pytest.raises(Exception):
+        read_json_lines(spark, f"{tmp_dir}/json-bad", "a string, b bigint").collect()
+
+
+def test_scratch_is_cleared_from_a_mark(spark):
+    from cityzones.session import clear_scratch, materialize, scratch_mark
+    kept = materialize(spark.range(3), "kept")
+    mark = scratch_mark()
+    gone = materialize(spark.range(3), "gone")
+    folder = os.path.dirname(_local(gone.inputFiles()[0].replace("file://", "")))
+    assert os.path.exists(folder)
+    clear_scratch(spark, mark)
+    assert not os.path.exists(folder) and kept.count() == 3

@@ -61,3 +61,41 @@ def test_replayed_batch_adds_nothing(spark, tmp_dir):
     more = spark.createDataFrame([("p4", "Sants", 4.0, None, 2021)], batch.schema)
     append_new_rows(batch.unionByName(more), out, ["year"])
     assert spark.read.parquet(out).count() == 4
+
+
+def test_incidents_with_a_year_that_is_no_number(spark, tmp_dir):
+    import os
+
+    from cityzones.schemas import INCIDENT_FIELDS
+    from cityzones.streaming import ingest_incidents
+    lookup = spark.createDataFrame([("N1", "Raval")], "neighborhood_id string, neighborhood string")
+    landing = f"{tmp_dir}/incidents-landing"
+    os.makedirs(landing.replace("file:", ""))
+
+    def land(name, year, extra=""):
+        values = {"fitxaID": name, "BARRI": "Raval", "anyDataAlta": year}
+        with open(f"{landing.replace('file:', '')}/{name}.csv", "w") as fh:
+            fh.write(",".join(INCIDENT_FIELDS) + "\n")
+            fh.write(",".join(values.get(f, "x") for f in INCIDENT_FIELDS) + extra + "\n")
+
+    for naive in (False, True):
+        out, ckpt = f"{tmp_dir}/out{naive}", f"{tmp_dir}/ckpt{naive}"
+        land("a", "2020")
+        ingest_incidents(spark, landing, lookup, out, ckpt, naive_csv=naive).awaitTermination()
+        land("b", "unknown")
+        land("c", "2021", ",one field too many")
+        ingest_incidents(spark, landing, lookup, out, ckpt, naive_csv=naive).awaitTermination()
+        got = spark.read.schema("fitxaID string, anyDataAlta string").parquet(out)
+        assert rows(got, "fitxaID", "anyDataAlta") == [("a", "2020"), ("b", "unknown")]
+        for name in "abc":
+            os.remove(f"{landing.replace('file:', '')}/{name}.csv")
+
+
+def test_append_reads_only_the_touched_partitions(spark, tmp_dir):
+    from cityzones.streaming.landing import _existing
+    out = f"{tmp_dir}/touched"
+    df = spark.createDataFrame([("a", 2020), ("b", 2021)], "code string, year int")
+    df.write.partitionBy("year").parquet(out)
+    assert _existing(spark, f"{tmp_dir}/nowhere", df.schema) is None
+    plan = _existing(spark, out, df.schema).where("year <=> 2021")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(year" in plan or "PartitionFilters: [isnotnull(year" in plan

@@ -53,7 +53,7 @@ def test_zones_end_to_end(spark, tmp_dir):
     assert spark.read.option("header", True).csv(ds).count() > 0
     path, rmse = zones.run_training(spark, ds, f"{tmp_dir}/models/forest", seed=1, version="20240101000000")
     assert path.endswith("forest_v20240101000000") and rmse > 0
-    chosen, rmse2 = zones.run_prediction(spark, ds, f"{tmp_dir}/models", seed=1)
+    chosen, rmse2 = zones.run_prediction(spark, ds, f"{tmp_dir}/models")
     assert chosen == path and rmse2 == rmse
 
 
@@ -76,7 +76,7 @@ def test_cli_dataset_and_predict(spark, tmp_dir, capsys):
     main(["format", "--landing", cfg.replace("file:", ""), "--formatted", f"{tmp_dir}/f"])
     main(["dataset", "--formatted", f"{tmp_dir}/f", "--out", f"{tmp_dir}/ds"])
     main(["train", "--dataset", f"{tmp_dir}/ds", "--model-base", f"{tmp_dir}/m/forest", "--seed", "2"])
-    main(["predict", "--dataset", f"{tmp_dir}/ds", "--models", f"{tmp_dir}/m", "--seed", "2"])
+    main(["predict", "--dataset", f"{tmp_dir}/ds", "--models", f"{tmp_dir}/m"])
     out = [json.loads(line) for line in capsys.readouterr().out.strip().splitlines()[-2:]]
     assert out[0]["model"] == out[1]["model"] and out[0]["rmse"] == out[1]["rmse"]
     main(["ingest", "--landing", cfg.replace("file:", ""), "--formatted", f"{tmp_dir}/inc", "--only", "rent"])
@@ -142,3 +142,31 @@ def test_incremental_zone_matches_batch_zone(spark, tmp_dir):
         assert a.count() == b.count() and a.exceptAll(b.select(*a.columns)).count() == 0, t
     again = zones.run_incremental_zone(spark, landing, f"{tmp_dir}/inc")   # nothing new
     assert spark.read.parquet(again["rent"]).count() == spark.read.parquet(batch["rent"]).count()
+
+
+def test_batch_then_incremental_on_one_root(spark, tmp_dir):
+    """Both runs write one layout: the table of a batch run can be brought up to date and read."""
+    lk = bq.write_lookups(spark, SF)
+    landing = zones.Landing(
+        income=bq.write_income_landing(spark, SF),
+        income_districts=lk["income_districts"], income_neighborhoods=lk["income_neighborhoods"],
+        rent_root=bq.write_rent_landing(spark, SF),
+        rent_districts=lk["rent_districts"], rent_neighborhoods=lk["rent_neighborhoods"],
+        incidents=bq.write_incident_landing(spark, SF), incident_lookup=lk["incidents"])
+    out = zones.run_formatted_zone(spark, landing, f"{tmp_dir}/one")
+    before = {t: spark.read.parquet(p).count() for t, p in out.items()}
+    zones.run_incremental_zone(spark, landing, f"{tmp_dir}/one", only=["rent", "incidents"])  # all of it is there
+    income, rent, incidents = zones.formatted_tables(spark, f"{tmp_dir}/one")
+    assert (rent.count(), incidents.count()) == (before["rent"], before["incidents"])
+
+
+def test_split_does_not_depend_on_the_partitioning(spark, tmp_dir):
+    from cityzones.plans.ml import hash_split, load_dataset
+    from cityzones.schemas import ML_SPLIT_KEYS
+    from cityzones.sources.sinks import write_csv
+    ds = bq.dataset(spark, SF)
+    parts = []
+    for n in (1, 7):
+        df = load_dataset(spark, write_csv(ds.repartition(n), f"{tmp_dir}/ds{n}"))
+        parts.append(rows(hash_split(df, ML_SPLIT_KEYS)[1]))
+    assert parts[0] == parts[1] and 0 < len(parts[0]) < ds.count()
