@@ -33,7 +33,7 @@ from cityzones.llm.hashing import mix, powers, prefix_sums
 
 DEPTH = 50
 GRAM = 18
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 1_000_000
 TILE = 1 << 18
 LEAST_BUCKETS = 64
 _U = np.uint64
@@ -267,7 +267,7 @@ def remove_repeats(df: DataFrame, depth: int = DEPTH, id_col: str = "doc_id", te
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-size // block_bytes))
-    buckets = max(LEAST_BUCKETS, n)
+    buckets = max(LEAST_BUCKETS, n // 2)
     blocks = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n))).repartition(n, "block")
     digits = blocks.groupBy("block").applyInPandas(
         _first_digits(depth, buckets), "block bigint, bucket int, entries binary")
