@@ -1000,6 +1000,7 @@ DIRTY_REGION_SQL = """CASE c_mktsegment
     WHEN 'MACHINERY' THEN lower(r_name)
     WHEN 'AUTOMOBILE' THEN replace(r_name, 'A', '')
     WHEN 'FURNITURE' THEN replace(r_name, 'E', 'EE')
+    WHEN 'HOUSEHOLD' THEN 'no such district'
     ELSE r_name END"""
 
 
@@ -1017,6 +1018,7 @@ def _dirty_pairs(spark, d) -> DataFrame:
     di = (F.when(seg == "MACHINERY", F.lower("r_name"))
           .when(seg == "AUTOMOBILE", F.replace("r_name", F.lit("A"), F.lit("")))
           .when(seg == "FURNITURE", F.replace("r_name", F.lit("E"), F.lit("EE")))
+          .when(seg == "HOUSEHOLD", F.lit("no such district"))
           .otherwise(F.col("r_name")))
     return j.select(nb.alias("BARRI"), di.alias("DISTRICTE"))
 
@@ -1043,11 +1045,15 @@ db AS {_best_sql('dn', 'DISTRICTE', 'region', 'r_regionkey', 'r_name', None)},
 pd AS (SELECT pairs.*, db._id AS district_id, db._name AS district_n_reconciled
        FROM pairs LEFT JOIN db USING (DISTRICTE)),
 bn AS (SELECT DISTINCT BARRI, district_id FROM pd WHERE district_id IS NOT NULL),
-nb AS {_best_sql('bn', 'BARRI', 'nation', 'n_nationkey', 'n_name', ('district_id', 'n_regionkey'))}
-SELECT DISTINCT CAST(nb._id AS VARCHAR) AS neighborhood_id, nb._name AS neighborhood_n_reconciled,
+nb AS {_best_sql('bn', 'BARRI', 'nation', 'n_nationkey', 'n_name', ('district_id', 'n_regionkey'))},
+ln AS (SELECT DISTINCT BARRI FROM pd WHERE district_id IS NULL),
+la AS {_best_sql('ln', 'BARRI', 'nation', 'n_nationkey', 'n_name', None)}
+SELECT DISTINCT CAST(coalesce(nb._id, la._id) AS VARCHAR) AS neighborhood_id,
+       coalesce(nb._name, la._name) AS neighborhood_n_reconciled,
        pd.BARRI AS neighborhood, CAST(pd.district_id AS VARCHAR) AS district_id,
        pd.district_n_reconciled, pd.DISTRICTE AS district
-FROM pd LEFT JOIN nb ON pd.BARRI = nb.BARRI AND pd.district_id = nb.district_id""")
+FROM pd LEFT JOIN nb ON pd.BARRI = nb.BARRI AND pd.district_id = nb.district_id
+LEFT JOIN la ON pd.BARRI = la.BARRI AND pd.district_id IS NULL""")
 def q_incident_lookup_build(spark, d):
     """Reconcile raw names to a lookup, write it as CSV, read it back."""
     from cityzones.plans.lookup_builder import build_incident_lookup

@@ -18,8 +18,8 @@ def build_incident_lookup(names: DataFrame, districts: DataFrame, neighborhoods:
 
     ``districts``: ``district_id, district_name``; ``neighborhoods``:
     ``neighborhood_id, neighborhood_name, district_id``.  The district name is
-    reconciled on its own; the neighbourhood name only against neighbourhoods
-    of that district.  Unmatched names keep null ids.  Output columns follow
+    reconciled on its own; the neighbourhood name against the neighbourhoods of
+    that district, or of all districts where the district found nothing.  Unmatched names keep null ids.  Output columns follow
     the incident-lookup file: neighborhood_id, neighborhood_n_reconciled,
     neighborhood, district_id, district_n_reconciled, district."""
     pairs = cut_lineage(names.select(name_col, district_col).na.drop().distinct())
@@ -35,9 +35,17 @@ def build_incident_lookup(names: DataFrame, districts: DataFrame, neighborhoods:
                             max_distance=max_distance, out_id="neighborhood_id",
                             out_name="neighborhood_n_reconciled", out_distance="_nd",
                             materialize=False)
-    out = with_d.join(neigh, [name_col, "district_id"], "left")
+    # a name whose district found nothing is looked for in all districts
+    anywhere = reconcile_names(with_d.where(F.col("district_id").isNull()).select(name_col),
+                               neighborhoods, name_col, "neighborhood_id", "neighborhood_name",
+                               max_distance=max_distance, out_id="_any_id", out_name="_any_name",
+                               out_distance="_ad", materialize=False)
+    anywhere = anywhere.where(F.col("_any_id").isNotNull()).withColumn("_lost", F.lit(True))
+    out = with_d.withColumn("_lost", F.col("district_id").isNull())
+    out = out.join(neigh, [name_col, "district_id"], "left").join(anywhere, [name_col, "_lost"], "left")
     return out.select(
-        F.col("neighborhood_id").cast("string"), "neighborhood_n_reconciled",
+        F.coalesce("neighborhood_id", "_any_id").cast("string").alias("neighborhood_id"),
+        F.coalesce("neighborhood_n_reconciled", "_any_name").alias("neighborhood_n_reconciled"),
         F.col(name_col).alias("neighborhood"), F.col("district_id").cast("string"),
         "district_n_reconciled", F.col(district_col).alias("district"),
     ).distinct().select(*field_names(INCIDENT_LOOKUP_DDL))
