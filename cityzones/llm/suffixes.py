@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cityzones.llm.hashing import mix, powers, prefix_sums
+from cityzones.llm.hashing import mix, powers, prefix_sums, release
 
 DEPTH = 50
 GRAM = 18
@@ -44,6 +44,21 @@ ANSWER = "block bigint, pass int, bucket int, bits binary"
 RESULT = "doc_id bigint, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary"
 
 
+def _lean(group):
+    """A group function that leaves no memory behind."""
+    def one(frame: pd.DataFrame) -> pd.DataFrame:
+        out = group(frame)
+        release()
+        return out
+
+    def two(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = group(left, right)
+        release()
+        return out
+
+    return one if group.__code__.co_argcount == 1 else two
+
+
 class Block:
     """The documents of one block in ascending id order, and the runs of windows with one first digit."""
 
@@ -270,13 +285,13 @@ def remove_repeats(df: DataFrame, depth: int = DEPTH, id_col: str = "doc_id", te
     buckets = max(LEAST_BUCKETS, n // 2)
     blocks = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n))).repartition(n, "block")
     digits = blocks.groupBy("block").applyInPandas(
-        _first_digits(depth, buckets), "block bigint, bucket int, entries binary")
-    first = digits.groupBy("bucket").applyInPandas(_shared_digits, ANSWER)
+        _lean(_first_digits(depth, buckets)), "block bigint, bucket int, entries binary")
+    first = digits.groupBy("bucket").applyInPandas(_lean(_shared_digits), ANSWER)
     runs = blocks.groupBy("block").cogroup(first.groupBy("block")).applyInPandas(
-        _runs_left(depth, buckets), "block bigint, bucket int, owners binary, counts binary, text binary")
-    second = runs.groupBy("bucket").applyInPandas(_smaller_elsewhere(depth), ANSWER)
+        _lean(_runs_left(depth, buckets)), "block bigint, bucket int, owners binary, counts binary, text binary")
+    second = runs.groupBy("bucket").applyInPandas(_lean(_smaller_elsewhere(depth)), ANSWER)
     return blocks.groupBy("block").cogroup(first.unionByName(second).groupBy("block")).applyInPandas(
-        _cut(depth, buckets), RESULT)
+        _lean(_cut(depth, buckets)), RESULT)
 
 
 def op7_suffix_dedup(spark, sf_dir: str) -> DataFrame:
