@@ -106,7 +106,8 @@ class Block:
             at = np.flatnonzero(edge)
             length = np.diff(np.append(at, size))
             keep = good[at]
-            out.append((m[at[keep]], at[keep] + a, length[keep]))
+            # mixed again: smallest hashes crowd near zero, and buckets go by leading bits
+            out.append((mix(m[at[keep]]), at[keep] + a, length[keep]))
         return tuple(np.concatenate(x) for x in zip(*out))
 
     def hashes(self, at: np.ndarray) -> np.ndarray:
