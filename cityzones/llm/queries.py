@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from cityzones.llm import (
-    chat, decontaminate, licenses, minhash, mixing, quality, secrets, sharding, suffixes, token_files)
+    chat, decontaminate, licenses, minhash, mixing, quality, runs, secrets, sharding, suffixes, token_files)
 
-_MODULES = (decontaminate, chat, minhash, quality, mixing, sharding, suffixes, licenses, token_files, secrets)
+_MODULES = (decontaminate, chat, minhash, quality, mixing, sharding, suffixes, licenses, token_files, secrets,
+            runs)
 
 
 def _pipeline(spark, sf_dir: str):
