@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from cityzones.llm import (
-    chat, decontaminate, licenses, minhash, mixing, quality, runs, secrets, sharding, suffixes, token_files)
+    chat, decontaminate, html_blocks, importance, licenses, minhash, mixing, quality, runs, secrets, sharding, suffixes,
+    token_files)
 
 _MODULES = (decontaminate, chat, minhash, quality, mixing, sharding, suffixes, licenses, token_files, secrets,
-            runs)
+            html_blocks, importance, runs)
 
 
 def _pipeline(spark, sf_dir: str):

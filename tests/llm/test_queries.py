@@ -38,7 +38,7 @@ def result(spark, name):
 
 def test_names():
     assert [n.split("_")[0] for n in sorted(QUERIES, key=lambda n: (n == "pipeline", len(n.split("_")[0]), n))] == [
-        *(f"op{i}" for i in range(1, 11)), "pipeline"]
+        *(f"op{i}" for i in range(1, 14)), "pipeline"]
     assert set(QUERIES) <= set(entry_mod.queries()) and set(ORACLE) <= set(entry_mod.oracle_sql())
 
 
