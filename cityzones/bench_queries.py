@@ -63,6 +63,7 @@ from cityzones.sources.files import (
 )
 from cityzones.sources.lookups import incident_lookup, income_lookup, rent_lookup
 from cityzones.sources.sinks import write_csv, write_parquet
+from cityzones.sources.versions import overwrite_table, read_table
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -774,6 +775,41 @@ def q_sink_parquet_roundtrip(spark, d):
 
 
 # An empty CSV field reads back as null.
+# The first version is planned before the second replaces it, and read only afterwards.
+@query("sink_versioned_overwrite", sql="""
+SELECT 'before' AS version, o_orderkey, o_totalprice FROM orders
+UNION ALL
+SELECT 'after', o_orderkey, o_totalprice * 2 FROM orders WHERE o_orderstatus <> 'F'""")
+def q_sink_versioned_overwrite(spark, d):
+    root = scratch_path(spark, "orders-versions")
+    columns = ["o_orderkey", "o_totalprice", "o_orderstatus"]
+    overwrite_table(_t(spark, d, "orders").select(*columns), root)
+    before = read_table(spark, root)
+    changed = before.where("o_orderstatus <> 'F'").withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    overwrite_table(changed, root)  # a table overwritten from itself
+    after = read_table(spark, root)
+    return (before.withColumn("version", F.lit("before")).unionByName(after.withColumn("version", F.lit("after")))
+            .select("version", "o_orderkey", "o_totalprice"))
+
+
+# Three column orders in one folder, with quoted commas, line breaks and doubled quotes.
+@query("csv_folder_layouts", sql="""
+SELECT CAST(c_custkey AS VARCHAR) AS id, c_name || ', "' || c_mktsegment || '"' || chr(10) || 'x' AS label,
+       CASE WHEN c_nationkey % 4 <> 0 THEN CAST(c_nationkey AS VARCHAR) END AS nation FROM customer""")
+def q_csv_folder_layouts(spark, d):
+    from cityzones.sources.files import read_csv_columns
+    path = scratch_path(spark, "customer-layouts")
+    nation = F.col("c_nationkey").cast("string")
+    c = _t(spark, d, "customer").select(
+        F.col("c_custkey").cast("string").alias("id"),
+        F.concat("c_name", F.lit(', "'), "c_mktsegment", F.lit('"\nx')).alias("label"),
+        F.when(F.col("c_nationkey") % 4 != 0, nation).otherwise("").alias("nation"))
+    for i, order in enumerate((["id", "label", "nation"], ["nation", "id", "label"], ["label", "nation", "id"])):
+        (c.where(F.pmod(F.col("id").cast("long"), F.lit(3)) == i).select(*order)
+         .write.mode("append").option("header", True).option("escape", '"').csv(path))
+    return read_csv_columns(spark, path, ["id", "label", "nation"])
+
+
 @query("csv_folder_columns", sql=f"""
 SELECT nullif(BARRI, '') AS BARRI, raw11 AS DISTRICTE FROM ({INCIDENT_LANDING_SQL}) t""")
 def q_csv_folder_columns(spark, d):

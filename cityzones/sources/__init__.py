@@ -8,3 +8,6 @@ from cityzones.sources.lookups import incident_lookup, income_lookup, rent_looku
 from cityzones.sources.sinks import (  # noqa: F401
     save_model, write_csv, write_jdbc, write_parquet,
 )
+from cityzones.sources.versions import (  # noqa: F401
+    current_version, expire, overwrite_table, list_versions, publish, read_table, write_version,
+)

@@ -3,12 +3,13 @@ pass over the data, and a stable plan."""
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cityzones.functions.checks import require_not_null
 from cityzones.functions.text import patch_quoted_comma, split_fields, strip_char_all
-from cityzones.session import materialize
 from cityzones.schemas import (
     INCIDENT_FIELDS,
     INCOME_RAW_DDL,
@@ -143,34 +144,28 @@ def read_incidents(spark: SparkSession, path: str, naive_split: bool = False) ->
     return read_csv_strict(spark, path, INCIDENT_FIELDS)
 
 
-# A comma separates fields only outside double quotes: it is followed by an
-# even number of quote characters up to the end of the line.
-CSV_FIELD_SEPARATOR = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-
-
-def csv_fields(col) -> "F.Column":
-    """Fields of one CSV line as an array (quoted commas kept, surrounding
-    quotes removed, doubled quotes undone).  Empty fields, quoted or not, are
-    null, as the CSV reader (and a pandas read) treats them."""
-    def unquote(x):
-        quoted = x.startswith('"') & x.endswith('"') & (F.length(x) >= 2)
-        inner = F.replace(F.substr(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))
-        return F.when((x == "") | (x == '""'), F.lit(None)).when(quoted, inner).otherwise(x)
-    return F.transform(F.split(col, CSV_FIELD_SEPARATOR, -1), unquote)
+def csv_headers(spark: SparkSession, folder: str, pattern: str = "*.csv") -> dict[str, list[str]]:
+    """Files of ``folder`` by their first line.  One narrow pass: a partial ``min_by`` of one row id per file within
+    the file's first block; the driver gets the list of files, as it does for any read."""
+    lines = (spark.read.option("pathGlobFilter", pattern).text(folder)
+             .select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row"))
+             .where(F.col("_metadata.file_block_start") == 0))
+    heads = (lines.groupBy("file").agg(F.min_by("value", "row").alias("head"))
+             .groupBy("head").agg(F.sort_array(F.collect_list("file")).alias("files")))
+    return {r["head"]: r["files"] for r in heads.collect()}
 
 
-def read_csv_columns(spark: SparkSession, folder: str, columns: list[str],
-                     per_file_header: bool = True) -> DataFrame:
+def read_csv_columns(spark: SparkSession, folder: str, columns: list[str], per_file_header: bool = True,
+                     line_breaks: bool = True) -> DataFrame:
     """Named columns of every ``*.csv`` file in ``folder``, each file read by
     its own header (files may order their columns differently).
 
-    Each file's header is its first line: the smallest row id in the file's
-    first split, found by a partial ``min_by`` per file, together with the
-    positions of ``columns`` in it.  That table (one row per file) joins back
-    by file path, and each data line is split once (``csv_fields``) and
-    indexed at its file's positions.  A file without one of ``columns``
-    fails the job.  Quoted line breaks inside a field are not supported by
-    this line-based read.
+    Files are grouped by their header line; each distinct header is one read of
+    Spark's CSV reader over the files that have it, and the reads are united by
+    name.  Quoted commas, doubled quotes and quoted line breaks are kept; empty
+    fields, quoted or not, are null.  A file without one of ``columns`` fails,
+    a folder without files gives no rows.  Reading quoted line breaks takes a
+    whole file per task: ``line_breaks=False`` splits large files instead.
 
     ``per_file_header=False`` uses the plain CSV reader, which names columns
     from one header and reads every file by position; a file whose header
@@ -179,21 +174,19 @@ def read_csv_columns(spark: SparkSession, folder: str, columns: list[str],
         df = (spark.read.option("header", True).option("enforceSchema", False)
               .option("pathGlobFilter", "*.csv").csv(folder))
         return df.select(*columns)
-    lines = (spark.read.option("pathGlobFilter", "*.csv").text(folder)
-             .select("value", F.col("_metadata.file_path").alias("_f"),
-                     F.col("_metadata.file_block_start").alias("_b"),
-                     F.monotonically_increasing_id().alias("_i")))
-    heads = (lines.where(F.col("_b") == 0).groupBy("_f")
-             .agg(F.min_by("value", "_i").alias("_h"), F.min("_i").alias("_hi")))
-    heads = heads.select("_f", "_hi", *[F.array_position(csv_fields(F.col("_h")), c).cast("int")
-                                        .alias(f"_p{i}") for i, c in enumerate(columns)])
-    heads = materialize(heads, "csv-headers")
-    data = (lines.join(heads, "_f").where(F.col("_i") != F.col("_hi"))
-            .select("_f", csv_fields(F.col("value")).alias("_v"),
-                    *[f"_p{i}" for i in range(len(columns))]))
-    out = []
-    for i, c in enumerate(columns):
-        pos = F.col(f"_p{i}")
-        out.append(F.when(pos == 0, F.raise_error(F.concat(F.lit(f"column {c} missing in "), F.col("_f"))))
-                   .otherwise(F.get(F.col("_v"), pos - 1)).alias(c))
-    return data.select(*out)
+    out = None
+    for head, files in sorted(csv_headers(spark, folder).items()):
+        names = [n.strip("\ufeff") for n in next(csv.reader([head]), [])]
+        for c in columns:
+            if c not in names:
+                raise ValueError(f"column {c} missing in {', '.join(files[:3])}")
+        # positions as names: a header may repeat a name in a column nobody asks for
+        schema = ", ".join(f"c{i} string" for i in range(len(names)))
+        df = (spark.read.schema(schema).option("header", True).option("multiLine", line_breaks)
+              .option("quote", '"').option("escape", '"').csv(files))
+        found = [F.col(f"c{names.index(c)}") for c in columns]
+        df = df.select(*[F.when(v != "", v).alias(c) for v, c in zip(found, columns)])
+        out = df if out is None else out.unionByName(df)
+    if out is None:
+        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns))
+    return out

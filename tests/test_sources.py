@@ -52,10 +52,27 @@ def test_json_lines_missing_key_is_null(spark, tmp_dir):
     assert rows(df) == [("1", 2), ("2", None)]
 
 
-def test_csv_fields(spark):
-    from cityzones.sources.files import csv_fields
-    df = spark.createDataFrame([('a,"b, c","d""e",,""',)], "v string")
-    assert df.select(csv_fields("v").alias("f")).first()["f"] == ["a", "b, c", 'd"e', None, None]
+def test_csv_layouts_with_quotes_and_line_breaks(spark, tmp_dir):
+    d = _local(f"{tmp_dir}/layouts")
+    os.makedirs(d)
+    for name, text in (("a", 'x,y,z\n1,"b, c",\n2,"d""e",""\n'), ("b", 'z,"x",y\r\nk,3,"two\r\nlines"\r\n'),
+                       ("c", 'y,z,x,w,w\n"q ""r, s""\nt",m,4,,\n'), ("d", "x,y,z\n"), ("e", "x,y,z\n5,last,n")):
+        with open(f"{d}/{name}.csv", "w", newline="") as f:
+            f.write(text)
+    open(f"{d}/empty.csv", "w").close()
+    out = read_csv_columns(spark, f"{tmp_dir}/layouts", ["x", "y", "z"])
+    got = [(x, y.replace("\r\n", "\n"), z) for x, y, z in rows(out)]
+    assert got == [("1", "b, c", None), ("2", 'd"e', None), ("3", "two\nlines", "k"), ("4", 'q "r, s"\nt', "m"),
+                   ("5", "last", "n")]
+    # one native scan per distinct header, nothing joined or shuffled
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 3 and "Exchange" not in plan and "Join" not in plan
+
+
+def test_csv_columns_of_an_empty_folder(spark, tmp_dir):
+    os.makedirs(_local(f"{tmp_dir}/none"))
+    assert read_csv_columns(spark, f"{tmp_dir}/none", ["x"]).collect() == []
+
 
 
 def test_strict_csv_drops_malformed_rows_under_any_selection(spark, tmp_dir):
