@@ -13,6 +13,7 @@ markers cannot occur in them and ``parse`` restores the turns exactly.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -57,8 +58,12 @@ class Mapping:
             return sorted([self.items, f"{self.items}[].{self.role}", f"{self.items}[].{self.text}"])
         return sorted(p for p in (self.order, self.role, self.text) if p)
 
-    def fingerprint(self) -> str:
-        return hashlib.sha256("\n".join(self.paths()).encode()).hexdigest()
+    def fingerprints(self) -> list[str]:
+        """Hashes of the path sets this mapping reads: lists may be empty or lack a field in all their elements."""
+        whole = self.paths()
+        optional = [p for p in whole if "[]" in p]
+        return [hashlib.sha256("\n".join(p for p in whole if p not in gone).encode()).hexdigest()
+                for n in range(len(optional) + 1) for gone in itertools.combinations(optional, n)]
 
 
 MAPPINGS = (
@@ -74,8 +79,13 @@ MAPPINGS = (
 )
 
 
-def _json_path(path: str) -> str:
-    return "$." + path.replace("[]", "[0]")
+def _present(record: Column, path: str) -> Column:
+    """Does the record have the field, or one of its list's elements (``list[].field``)?  A null value counts."""
+    items, _, field = path.partition("[].")
+    if not field:
+        return F.try_variant_get(record, f"$.{path}", "variant").isNotNull()
+    return F.exists(F.try_variant_get(record, f"$.{items}", "array<variant>"),
+                    lambda x: F.try_variant_get(x, f"$.{field}", "variant").isNotNull())
 
 
 def _known_paths(mappings) -> list[str]:
@@ -83,11 +93,10 @@ def _known_paths(mappings) -> list[str]:
 
 
 def record_fingerprint(record: Column, mappings=MAPPINGS) -> Column:
-    """Hash of the known nested field paths present in a variant record.
+    """Hash of the known nested field paths present in a variant record, the union over all elements of a list.
 
     Paths of no mapping are ignored, so extra fields don't change the layout.  A field that holds null is present."""
-    present = [F.when(F.try_variant_get(record, _json_path(p), "variant").isNotNull(), F.lit(p))
-               for p in _known_paths(mappings)]
+    present = [F.when(_present(record, p), F.lit(p)) for p in _known_paths(mappings)]
     return F.sha2(F.concat_ws("\n", *present), 256)
 
 
@@ -95,7 +104,8 @@ def canonical_turns(df: DataFrame, id_col: str, record: str, mappings=MAPPINGS)
     """Rows (id, turn, role, text, layout) from a column of heterogeneous records.
 
     ``record`` is JSON text, a struct or a variant.  A null, malformed or unknown record gives one row with null
-    turn, role, text and layout, so nothing disappears unnoticed.  In "turn_rows" the record is a turn."""
+    turn, role, text and layout, so nothing disappears unnoticed.  An element that lacks a field has a null there; an empty
+    list gives one row with its layout and null turn, role and text.  In "turn_rows" the record is a turn."""
     kind = df.schema[record].dataType.typeName()
     r = F.col(record)
     variant = r if kind == "variant" else F.try_parse_json(r) if kind == "string" else F.to_variant_object(r)
@@ -127,7 +137,7 @@ def canonical_turns(df: DataFrame, id_col: str, record: str, mappings=MAPPINGS)
         else:
             made = F.array(turn(get(m.order, "long") if m.order else F.lit(0), renamed(get(m.role), m.roles),
                                 get(m.text)))
-        mine = F.col("_f") == m.fingerprint()
+        mine = F.col("_f").isin(m.fingerprints())
         layout, turns = F.when(mine, F.lit(m.name)).otherwise(layout), F.when(mine, made).otherwise(turns)
     return (found.select("id", layout.alias("layout"), F.explode_outer(turns).alias("_t"))
             .select("id", "_t.turn", "_t.role", "_t.text", "layout"))

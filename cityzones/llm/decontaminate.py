@@ -18,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -28,7 +29,7 @@ from cityzones.llm.hashing import mix, powers
 GRAM = 10
 FRAGMENT, STRIDE = 80, 40   # characters of a fragment, and from one to the next
 EDIT_PERCENT = 5            # of a fragment's characters
-LEAST_CHARS = 32            # shorter items don't identify a leak and are not searched
+LEAST_CHARS = 32            # shorter items hold too few q-grams for a bound: found as whole words, without edits
 BLOCK_CHARS = 2_000_000     # of benchmark text per index
 CHUNK_CHARS = 2_000_000     # of documents at once
 _U = np.uint64
@@ -112,15 +113,19 @@ class Index:
     needed: np.ndarray      # shared q-grams
     least: int              # the smallest of ``needed``
     item: np.ndarray        # of each fragment
+    short: dict             # items (by number) of each text below LEAST_CHARS, words between single spaces
 
     @classmethod
     def build(cls, ids: list[int], texts: list[str]) -> Index:
         codes, _, first = normalise(texts)
-        begin, length, item = [], [], []
+        begin, length, item, short = [], [], [], {}
         for d, (a, b) in enumerate(zip(first[:-1].tolist(), (first[1:] - 1).tolist())):
             if b > a and codes[b - 1] == 32:
                 b -= 1
             if b - a < LEAST_CHARS:
+                words = _characters(codes[a:b]).strip(" ")
+                if words:
+                    short.setdefault(words, []).append(d)
                 continue
             starts = [*range(a, max(a, b - FRAGMENT), STRIDE), max(a, b - FRAGMENT)]
             for s in starts:
@@ -140,7 +145,16 @@ class Index:
         table = np.zeros(1 << _FILTER_BITS, bool)
         table[(h[at] >> _U(64 - _FILTER_BITS)).astype(np.int64)] = True
         return cls(ids, codes, first, h[at][order], at[order], table, begin, length, budget, needed,
-                   int(needed.min()) if len(needed) else 1, item)
+                   int(needed.min()) if len(needed) else 1, item, short)
+
+    def dictionary(self) -> ahocorasick.Automaton:
+        """The short texts between spaces, built once per worker."""
+        if not hasattr(self, "_dictionary"):
+            self._dictionary = ahocorasick.Automaton()
+            for words in self.short:
+                self._dictionary.add_word(f" {words} ", words)
+            self._dictionary.make_automaton()
+        return self._dictionary
 
 
 def _zones(index: Index, h: np.ndarray) -> np.ndarray:
@@ -237,11 +251,35 @@ def _align(index: Index, codes: np.ndarray, frag: np.ndarray, diagonal: np.ndarr
     return best, best_start, best_end
 
 
+def _characters(codes: np.ndarray) -> str:
+    return codes.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+
+
+def _search_short(index: Index, doc_ids: list, codes: np.ndarray, origin: np.ndarray, first: np.ndarray) -> list[tuple]:
+    """Rows of HITS of the short items: the first place in each document that holds all their words, unchanged."""
+    text = " " + _characters(np.where(codes == 0, 32, codes)) + " "
+    found: dict[tuple[int, str], tuple[int, int]] = {}
+    for end, words in index.dictionary().iter(text):
+        b = end - 1  # positions in codes: the text has a space more in front
+        a = b - len(words)
+        d = int(np.searchsorted(first, a, "right")) - 1
+        if b < first[d + 1]:  # not across two documents
+            found.setdefault((d, words), (a, b))
+    return [(doc_ids[d], index.ids[item], int(origin[a]), int(origin[b - 1]) + 1, 0, 1, 1)
+            for (d, words), (a, b) in sorted(found.items()) for item in index.short[words]]
+
+
 def search(index: Index, doc_ids: list, texts: list[str | None]) -> list[tuple]:
     """Rows of HITS for the documents of one chunk."""
-    if not len(index.hashes):
+    if not len(index.hashes) and not index.short:
         return []
     codes, origin, first = normalise(texts)
+    rows = _search_short(index, doc_ids, codes, origin, first) if index.short else []
+    return rows + _search_long(index, doc_ids, codes, origin, first) if len(index.hashes) else rows
+
+
+def _search_long(index: Index, doc_ids: list, codes: np.ndarray, origin: np.ndarray, first: np.ndarray) -> list[tuple]:
+    """Rows of HITS of the items with fragments."""
     h = grams(codes)
     at = _zones(index, h)
     if not len(at):
@@ -323,7 +361,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows (doc_id, item_id, start, end, edits, n_fragments, n_found): which items occur in which documents.
 
     start and end: code points of the text from the first to the last fragment found; edits: of the best fragment;
-    n_found of the item's n_fragments occur.  Null, empty and short texts and items give no row.  Repeated documents and
+    n_found of the item's n_fragments occur.  Null and empty texts and items give no row.  Items below LEAST_CHARS characters
+    are one fragment, found where all their words stand next to each other, unchanged and whole.  Repeated documents and
     items give a row each; repeats of an item inside a document give one."""
     found = docs.sparkSession.createDataFrame([], HITS)
     rows = docs.select(F.col("doc_id").cast("long"), "text")

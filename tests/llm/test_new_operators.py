@@ -10,7 +10,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from cityzones.llm import html_blocks, importance, runs
+from cityzones.llm import chat, decontaminate, html_blocks, importance, runs
 
 SF = "/root/testdata/sf0.001"
 WIDE = "id long, text string, copies int, _copy int, _nth int, _hash string, _row int, score int, rank int, weight int"
@@ -215,3 +215,38 @@ def test_runs_of_awkward_rows(spark):
     assert [tuple(x) for x in by[None].runs] == [(0, 10, 2)] and bytes(by[None].kept) == b"a b"
     assert [tuple(x) for x in by[5].runs] == [(0, 920_000, 4)] and bytes(by[6].kept) == b"one two nine"
     assert runs.periodic_runs(wide(spark, []), id_col="id").collect() == []
+
+
+# 1 and 2: items below the bound, lists with holes
+
+def test_short_items_are_found_as_whole_words(spark):
+    items = [(1, "Yes"), (2, "the cat sat"), (3, "what is seven and six"), (4, "yes!"), (5, ""), (6, None), (7, "???")]
+    docs = [(1, "yes, it is"), (2, "eyes yesterday"), (3, "So THE  cat, sat."), (4, "breathe cat satin"),
+            (5, "the cat"), (6, "sat the cat"), (7, "sat"), (8, None), (None, "what is seven and six"), (10, "yes")]
+    found = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"),
+                                     spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(1, 1), (1, 4), (3, 2), (None, 3), (10, 1), (10, 4)}
+    by = {(r.doc_id, r.item_id): r for r in found}
+    assert (by[3, 2].start, by[3, 2].end, by[3, 2].edits) == (3, 16, 0)
+    kept = decontaminate.remove_leaks(spark.createDataFrame(docs, "doc_id long, text string"),
+                                      spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 4, 5, 6, 7, 8]
+
+
+@pytest.mark.parametrize("hole", [0, 1, 2, None])
+@pytest.mark.parametrize("field", ["role", "content"])
+def test_a_list_may_lack_fields_anywhere(spark, hole, field):
+    import json
+    turns = [{"role": r, "content": t} for r, t in (("user", "a"), ("assistant", "b"), ("user", "c"))]
+    for i, t in enumerate(turns):
+        if hole in (i, None):
+            del t[field]
+    df = spark.createDataFrame([(1, json.dumps({"messages": turns, "extra": 1}))], "id int, record string")
+    got = sorted((r.turn, r.role, r.text, r.layout) for r in chat.canonical_turns(df, "id", "record").collect())
+    assert got == [(i, t.get("role"), t.get("content"), "messages") for i, t in enumerate(turns)]
+
+
+def test_an_empty_list_is_a_conversation_without_turns(spark):
+    df = spark.createDataFrame([(1, '{"messages": []}'), (2, '{"conversations": []}'), (3, "[]")], "id int, record string")
+    got = sorted(tuple(r) for r in chat.canonical_turns(df, "id", "record").select("id", "turn", "layout").collect())
+    assert got == [(1, None, "messages"), (2, None, "conversations"), (3, None, None)]
