@@ -367,9 +367,16 @@ def labelled_sample(pages: DataFrame, id_col: str = "page_id", html_col: str = "
                     most_chars: int = TRAIN_CHARS, layouts: int = LAYOUTS) -> list[str]:
     """At most ``n`` pages of at most ``most_chars`` characters that mark their article (first by hash of the id, then
     of the page), labelled, and ``layouts`` drawn layouts of each."""
-    marked = pages.where(F.col(html_col).rlike("(?i)<(article|main)[\\s>]") & (F.length(html_col) <= most_chars))
-    rows = (marked.select(F.xxhash64(F.col(id_col).cast("string")).alias("h"), F.col(html_col).alias("html"))
-            .orderBy("h", F.xxhash64("html")).limit(n).collect())
+    marked = pages.where(F.col(html_col).rlike("(?i)<(article|main)[\\s>]") & (F.length(html_col) <= most_chars)).select(
+        F.xxhash64(F.col(id_col).cast("string")).alias("h"), F.xxhash64(html_col).alias("g"),
+        F.col(html_col).alias("html"))
+    # the hashes are chosen first, so that no page but the sample's leaves its task; equal pages count once
+    chosen = marked.select("h", "g").orderBy("h", "g").limit(n).collect()
+    if not chosen:
+        return []
+    h, g = chosen[-1]
+    rows = (marked.where((F.col("h") < h) | ((F.col("h") == h) & (F.col("g") <= g)))
+            .groupBy("h", "g").agg(F.first("html").alias("html")).orderBy("h", "g").collect())
     out = []
     for r in rows:
         page = mark_articles(r["html"])
