@@ -17,6 +17,15 @@ def word_list(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``_name`` with as many underscores as it takes to differ from all columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    name = f"_{name}"
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once, however often ``body`` uses it."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityzones.llm.common import SPACES
+from cityzones.llm.common import materialize
 
 # Spellings that licence matching treats as equal (variant, canonical).
 SPELLINGS = (
@@ -77,10 +77,12 @@ _PUNCTUATION = r"[^a-z0-9\x{80}-\x{10FFFF}]+"
 def canonical_line(line: Column) -> Column:
     """One line without case, punctuation and variant spellings; empty when it is a copyright line."""
     low = F.lower(line)
-    plain = F.concat(F.lit(" "), F.trim(F.regexp_replace(low, _PUNCTUATION, " ")), F.lit(" "))
+    # two spaces between words: each word has a space of its own on both sides, so neighbours are replaced alike
+    words = F.trim(F.regexp_replace(low, _PUNCTUATION, "  "))
+    plain = F.concat(F.lit(" "), words, F.lit(" "))
     for variant, same in SPELLINGS:
-        plain = F.replace(plain, F.lit(f" {variant} "), F.lit(f" {same} "))
-    return F.when(low.rlike(_COPYRIGHT), "").otherwise(F.trim(plain))
+        plain = F.replace(plain, F.lit(f" {variant.replace(' ', '  ')} "), F.lit(f" {same} "))
+    return F.when(low.rlike(_COPYRIGHT), "").otherwise(F.replace(F.trim(plain), F.lit("  "), F.lit(" ")))
 
 
 def canonical_lines(text: Column) -> Column:
@@ -100,7 +102,9 @@ def scan(df: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str
     """Findings (id, line, license): ``line`` counts the document's canonical lines from 0, -1 is the whole document.
 
     A document that is one line is found twice, as a whole and as a line.  Null and empty texts, and texts of copyright
-    lines alone, have no lines and no finding.  Repeated rows give repeated findings."""
+    lines alone, have no lines and no finding.  Repeated rows give repeated findings.  ``known`` is written once, so
+    that the planner joins by its measured size: documents are not shuffled while it is small."""
+    known = materialize(known.select("digest", "license"), "known-licenses")
     lines = df.select(F.col(id_col).alias("id"), canonical_lines(F.col(text_col)).alias("_l"))
     whole = F.struct(F.lit(-1).alias("line"), F.sha2(F.array_join("_l", " "), 256).alias("digest"))
     each = F.transform("_l", lambda x, i: F.struct(i.alias("line"), F.sha2(x, 256).alias("digest")))
@@ -116,8 +120,10 @@ def op8_license_scan(spark, sf_dir: str) -> DataFrame:
 def _sql() -> str:
     def canon(x: str) -> str:
         low = f"lower({x})"
-        plain = f"' ' || trim(regexp_replace({low}, '{_PUNCTUATION}', ' ', 'g')) || ' '"
-        for variant, same in SPELLINGS:
+        words = f"string_split(trim(regexp_replace({low}, '{_PUNCTUATION}', ' ', 'g')), ' ')"
+        cases = " ".join(f"WHEN '{v}' THEN '{same}'" for v, same in SPELLINGS if " " not in v)
+        plain = f"' ' || array_to_string(list_transform({words}, lambda w: CASE w {cases} ELSE w END), ' ') || ' '"
+        for variant, same in [p for p in SPELLINGS if " " in p[0]] * 2:  # twice: neighbours share a space
             plain = f"replace({plain}, ' {variant} ', ' {same} ')"
         return f"CASE WHEN regexp_matches({low}, '{_COPYRIGHT}') THEN '' ELSE trim({plain}) END"
 

@@ -255,10 +255,13 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each component, the one with the smallest doc_id.
 
     Rows that repeat both doc_id and text are one document.  Documents with a null doc_id are only compared with each
-    other's ids as far as equal texts go: linked ones that all lack an id stay."""
-    keep = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_keep")).distinct()
-    rows = docs.join(keep, docs["doc_id"].cast("long").eqNullSafe(keep["_keep"]), "left_semi")
-    return rows.withColumn("_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_hash"]).drop("_hash")
+    other's ids as far as equal texts go: linked ones that all lack an id stay.
+    Further columns pass through, whatever their names."""
+    keep = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("keep")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"),
+                       F.xxhash64("text").alias("hash"))
+    rows = rows.join(keep, rows["id"].eqNullSafe(keep["keep"]), "left_semi")
+    return rows.dropDuplicates(["id", "hash"]).select("row.*")
 
 
 def op3_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cityzones.llm.common import WORD, materialize, running_totals
@@ -106,21 +106,24 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
 
     Size: number of words (null text: 0), or the column ``size``.  copies: 0 to ``most``; taken: copies times size.  Documents without words
     take nothing.  The last open fraction of a source goes to the nearer whole number, so its taken words differ from
-    the target by at most half of one document.  Repeated rows are documents of their own."""
+    the target by at most half of one document.  Repeated rows are documents of their own: rows alike in id, source,
+    size and key are counted before the shuffle and numbered afterwards, so that they spread over the blocks too."""
     key = key or []
-    sizes = materialize(df.select(
-        F.col(id_col).alias("id"), F.col(source_col).alias("source"), *[F.col(k).alias(f"_k_{k}") for k in key],
-        (n_words(F.col(text_col)) if size is None else size).alias("size")), "mix-sizes")
     keys = [f"_k_{k}" for k in key]
+    alike = df.select(
+        F.col(id_col).alias("id"), F.col(source_col).alias("source"), *[F.col(k).alias(f"_k_{k}") for k in key],
+        (n_words(F.col(text_col)) if size is None else size).alias("size")) \
+        .groupBy("id", "source", *keys, "size").agg(F.count(F.lit(1)).alias("n"))
+    sizes = materialize(_numbered(alike, "n", block_rows).drop("n"), "mix-sizes")
     sources = source_targets(sizes.groupBy("source").agg(
         F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_rows")), weights, share, most)
     sources = materialize(sources.select(
         "source", "source_size", "target", F.ceil(F.col("n_rows") / block_rows).alias("blocks"),
         (F.col("target") / F.greatest("source_size", F.lit(1))).alias("rate")), "mix-targets")
     rows = sizes.join(sources, sizes["source"].eqNullSafe(sources["source"])).select(
-        "id", *keys, sizes["source"], "size", "source_size", "target", "blocks",
+        "id", *keys, "nth", sizes["source"], "size", "source_size", "target", "blocks",
         F.floor("rate").cast("int").alias("base"), (F.col("rate") - F.floor("rate")).alias("p"),
-        F.xxhash64(F.col("id"), F.col("size"), *keys).alias("key"))
+        F.xxhash64(F.col("id"), F.col("size"), *keys, F.col("nth")).alias("key"))
     open_ = (F.col("size") > 0) & (F.col("p") > 0) & (F.col("p") < 1)
     done = [rows.where(~open_).withColumn("p", F.lit(0.0))]
     left, level = rows.where(open_), 0
@@ -143,20 +146,37 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
                       copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
+def _numbered(df: DataFrame, n: str, step: int) -> DataFrame:
+    """Every row ``n`` times, with ``nth`` from 1 to n; two levels, so that no array is longer than n / step + step."""
+    first = F.explode(F.sequence(F.lit(1).cast("long"), F.col(n), F.lit(step).cast("long")))
+    return df.withColumn("nth", first).withColumn("nth", F.explode(F.sequence(
+        F.col("nth"), F.least(F.col("nth") + (step - 1), F.col(n)))))
+
+
+def _row_hash(df: DataFrame, row: str) -> Column:
+    """Hash of all columns in the struct ``row`` (maps and variants by their JSON text, which Spark can hash)."""
+    def value(field) -> Column:
+        v = F.col(f"{row}.`{field.name.replace('`', '``')}`")
+        kind = field.dataType.simpleString()
+        return F.to_json(F.struct(v.alias("v"))) if "map<" in kind or "variant" in kind else v
+
+    return F.xxhash64(*[value(f) for f in df.schema[row].dataType.fields])
+
+
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` (doc_id, text, source and any others) with every row as often as the mix takes it, up to ``most`` times.
 
-    Rows that repeat a doc_id are told apart by their source and text; rows alike in these are interchangeable."""
-    w = Window.partitionBy("doc_id").orderBy("source", "_hash")
-    hashed = docs.withColumn("_hash", F.xxhash64("text"))
-    narrow = hashed.select("doc_id", "source", "_hash", n_words(F.col("text")).alias("_size")) \
-        .withColumn("_nth", F.row_number().over(w))
-    plan = mix(narrow, key=["_nth"], size=F.col("_size"), **options).where("copies > 0")
-    plan = materialize(plan.select("id", F.col("_nth").alias("nth"), "copies"), "mix-plan")
-    rows = hashed.withColumn("_nth", F.row_number().over(w))
-    taken = rows.join(plan, rows["doc_id"].eqNullSafe(plan["id"]) & (rows["_nth"] == plan["nth"]))
-    return taken.select(*[rows[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), "copies")).alias("_copy")) \
-        .drop("_copy")
+    Further columns pass through, whatever their names.  Rows alike in all columns are counted and kept once until the
+    copies are made, so a group of copies meets no window; a null doc_id is an id as any other."""
+    rows = docs.select(F.struct("*").alias("row"))
+    rows = rows.select("row", F.col("row.doc_id").alias("id"), _row_hash(rows, "row").alias("hash"))
+    narrow = rows.select("id", "hash", F.col("row.source").alias("source"), n_words(F.col("row.text")).alias("size"))
+    plan = mix(narrow, id_col="id", key=["hash"], size=F.col("size"), **options).where("copies > 0")
+    plan = materialize(plan.groupBy("id", "hash").agg(F.sum("copies").alias("copies")), "mix-plan")
+    plan = plan.select(F.col("id").alias("to_id"), F.col("hash").alias("to_hash"), "copies")
+    once = rows.groupBy("id", "hash").agg(F.first("row").alias("row"))
+    taken = once.join(plan, once["id"].eqNullSafe(plan["to_id"]) & (once["hash"] == plan["to_hash"]))
+    return _numbered(taken.select("row", "copies"), "copies", BLOCK_ROWS).select("row.*")
 
 
 def op5_mixing(spark, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cityzones.llm.common import SPACES, let, word_list
+from cityzones.llm.common import SPACES, let, unused, word_list
 
 # Frequent function words of the four languages of the corpus.
 STOP_WORDS = (
@@ -59,26 +59,27 @@ def with_metrics(df: DataFrame, text: str = "text") -> DataFrame:
     """Append ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words`` (long) and the ratios
     the rules use.  Null text counts as text without words; every ratio of such a text is 0.
 
-    Columns of the same names are replaced."""
+    Columns of the same names are replaced; no other column changes."""
+    words_col, lines_col, n_lines_col = (unused(df, c) for c in ("words", "lines", "n_lines"))
     t = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(t, "\n", -1), lambda x: F.length(F.regexp_replace(x, SPACES, "")) > 0)
     stop = [F.lit(w) for w in dict.fromkeys(STOP_WORDS)]
-    found = df.withColumns({"_words": word_list(F.col(text)), "_lines": lines})
-    words, n = F.col("_words"), F.greatest(F.size("_words"), F.lit(1))
+    found = df.withColumns({words_col: word_list(F.col(text)), lines_col: lines})
+    words, n = F.col(words_col), F.greatest(F.size(words_col), F.lit(1))
     found = found.withColumns({
         "n_words": F.size(words).cast("long"),
         "word_chars": F.length(F.regexp_replace(t, SPACES, "")).cast("long"),
         "n_symbols": (F.length(t) - F.length(F.translate(t, "#*$%&|<>", ""))).cast("long"),
-        "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
+        "n_dup_lines": (F.size(lines_col) - F.size(F.array_distinct(lines_col))).cast("long"),
         "n_repeat_words": _repeat_words(words).cast("long"),
         "stop_words_per_word": F.size(F.filter(words, lambda w: F.lower(w).isin(*stop))) / n,
-        "_n_lines": F.size("_lines"),
+        n_lines_col: F.size(lines_col),
     })
     return found.withColumns({
         "mean_word_chars": F.col("word_chars") / n,
         "symbols_per_word": F.col("n_symbols") / n,
-        "dup_line_ratio": F.col("n_dup_lines") / F.greatest(F.col("_n_lines"), F.lit(1)),
-    }).drop("_words", "_lines", "_n_lines")
+        "dup_line_ratio": F.col("n_dup_lines") / F.greatest(F.col(n_lines_col), F.lit(1)),
+    }).drop(words_col, lines_col, n_lines_col)
 
 
 def compile_rules(rules=RULES) -> dict[str, Column]:
