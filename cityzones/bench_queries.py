@@ -1032,6 +1032,36 @@ def q_reconcile_names(spark, d):
                            out_id="id", out_name="name_reconciled")
 
 
+# Part names as a catalogue might misspell them: canonical are the names of even parts, the others have a letter
+# doubled, one left out, two changed, or a word of their own.
+MISSPELT_SQL = """CASE p_partkey % 5
+    WHEN 0 THEN upper(p_name)
+    WHEN 1 THEN replace(p_name, 'a', 'aa')
+    WHEN 2 THEN replace(p_name, 'e', '')
+    WHEN 3 THEN replace(replace(p_name, 'o', 'u'), 'r', 'l')
+    ELSE p_name || ' new' END"""
+
+
+@query("reconcile_names_percent", sql=f"""
+WITH names AS (SELECT DISTINCT {MISSPELT_SQL} AS name, p_brand AS parent FROM part),
+canon AS (SELECT p_partkey AS id, p_name AS name_reconciled, p_brand AS parent,
+                 {NORMALIZE_SQL.format(x='p_name')} AS c FROM part WHERE p_partkey % 2 = 0),
+cand AS (
+  SELECT name, parent, id, name_reconciled, c, {NORMALIZE_SQL.format(x='name')} AS n,
+         levenshtein({NORMALIZE_SQL.format(x='name')}, c) AS distance
+  FROM names JOIN canon USING (parent)),
+best AS (
+  SELECT *, row_number() OVER (PARTITION BY name, parent ORDER BY distance, id) AS rn
+  FROM cand WHERE distance <= greatest(length(n), length(c)) * 20 // 100)
+SELECT names.name, names.parent, best.id, best.name_reconciled, CAST(best.distance AS INTEGER) AS distance
+FROM names LEFT JOIN best ON names.name = best.name AND names.parent = best.parent AND best.rn = 1""")
+def q_reconcile_names_percent(spark, d):
+    parts = _t(spark, d, "part")
+    return reconcile_names(parts.select(F.expr(MISSPELT_SQL).alias("name"), F.col("p_brand").alias("parent")),
+                           parts.where("p_partkey % 2 = 0"), "name", "p_partkey", "p_name",
+                           parent="parent", canon_parent="p_brand", max_percent=20)
+
+
 DIRTY_REGION_SQL = """CASE c_mktsegment
     WHEN 'MACHINERY' THEN lower(r_name)
     WHEN 'AUTOMOBILE' THEN replace(r_name, 'A', '')

@@ -7,7 +7,9 @@
 * ``reconcile_names``- fuzzy matching of distinct names against a canonical
                        table: exact on a normalised key first, then Levenshtein
                        within a parent block, exact and without any cap on
-                       candidates (see ``_deletion_variants``).
+                       candidates: by deletion variants for a fixed number of
+                       edits (``_deletion_variants``), by an index of rare
+                       q-grams for a share of the length (``_rare_grams``).
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from cityzones.functions.text import normalize_name, remove_char
 from cityzones.operators.joins import join_measured
 from cityzones.schemas import LOOKUP_COLUMNS
 from cityzones.session import cut_lineage
+from cityzones.session import materialize as shared
 
 POLICIES = ("error", "drop", "keep")
 
@@ -111,10 +114,65 @@ def _deletion_variants(col: Column, k: int) -> Column:
     return variants
 
 
+def _budget(longer: Column, percent: int) -> Column:
+    """Edits allowed between two names, the longer of which has ``longer`` characters."""
+    return F.floor(longer * percent / 100).cast("int")
+
+
+def _grams(text: Column, q: int) -> Column:
+    """Array of (gram, pos): all ``q`` neighbouring characters of ``text`` with ``q - 1`` marks on either side."""
+    marked = F.concat(F.lit("^" * (q - 1)), text, F.lit("$" * (q - 1)))
+    return F.transform(F.sequence(F.lit(1), F.length(text) + (q - 1)),
+                       lambda i: F.struct(F.substr(marked, i, F.lit(q)).alias("gram"), i.alias("pos")))
+
+
+def _rare_grams(df: DataFrame, text: str, rarity: DataFrame, percent: int, q: int) -> DataFrame:
+    """The rows of ``df`` once for each (``_gram``, ``_pos``) they are found by: their rarest q-grams.
+
+    An edit changes at most q grams of a name.  Of two names within d edits, q * d + 1 grams of either therefore hold
+    one that the other has too, at most d places away; with the grams of both in one order, the first q * d + 1 of
+    each (and what ties with the last) share it.  The order is by rarity, so the shared gram is in few names.  d is the
+    budget of the longest name that this one can still match."""
+    longest = F.floor(F.length(text) * 100 / (100 - percent))
+    first = _budget(longest, percent) * q + 1
+    each = df.withColumn("_g", F.explode(_grams(F.col(text), q))).select(*df.columns, "_g.gram", "_g.pos")
+    ranked = each.join(rarity, "gram", "left")
+    lists = ranked.groupBy(*df.columns).agg(F.array_sort(F.collect_set(F.struct(
+        F.coalesce("uses", F.lit(0)).alias("uses"), "gram", "pos"))).alias("_l"))
+    last = F.element_at("_l", F.least(F.size("_l"), first))
+    kept = F.filter("_l", lambda x: F.struct(x["uses"], x["gram"]) <= F.struct(last["uses"], last["gram"]))
+    return lists.withColumn("_x", F.explode(kept)).select(
+        *df.columns, F.col("_x.gram").alias("_gram"), F.col("_x.pos").alias("_pos"))
+
+
+def within_percent(names: DataFrame, canon: DataFrame, percent: int, q: int = 2) -> DataFrame:
+    """Pairs of ``names`` (``_blk``, ``_n`` and others) and ``canon`` (``_cblk``, ``_cn`` and others) of one block that
+    are at most ``percent`` % of the longer one's characters apart, with their distance ``_d``; a pair may come several
+    times, once for each gram that found it.
+
+    Candidates come from an inverted index of q-grams in the order of their rarity among the canonical names; place
+    and length must fit before the distance is computed.  Nothing is capped.  ``percent`` is at most 100 / q: beyond
+    it two names may match that share no gram."""
+    if not 0 <= percent * q <= 100:
+        raise ValueError(f"max_percent must be from 0 to {100 // q} with grams of {q}")
+    rarity = shared(canon.select(F.explode(_grams(F.col("_cn"), q)).alias("g")).groupBy(F.col("g.gram").alias("gram"))
+                    .agg(F.count(F.lit(1)).alias("uses")), "gram-uses")
+    left = _rare_grams(names, "_n", rarity, percent, q)
+    right = _rare_grams(canon, "_cn", rarity, percent, q).withColumnsRenamed({"_gram": "_cgram", "_pos": "_cpos"})
+    longer = F.greatest(F.length("_n"), F.length("_cn"))
+    most = _budget(longer, percent)
+    fits = ((left["_blk"] == right["_cblk"]) & (F.col("_gram") == F.col("_cgram"))
+            & (F.abs(F.col("_pos") - F.col("_cpos")) <= most)
+            & (F.abs(F.length("_n") - F.length("_cn")) <= most))
+    return (left.join(right, fits).withColumn("_d", F.levenshtein("_n", "_cn")).where(F.col("_d") <= most)
+            .drop("_gram", "_pos", "_cgram", "_cpos"))
+
+
 def reconcile_names(names: DataFrame, canon: DataFrame, name: str, canon_id: str, canon_name: str,
                     parent: str | None = None, canon_parent: str | None = None,
                     max_distance: int = 2, out_id: str = "id", out_name: str = "name_reconciled",
-                    out_distance: str = "distance", materialize: bool = True) -> DataFrame:
+                    out_distance: str = "distance", materialize: bool = True,
+                    max_percent: int | None = None) -> DataFrame:
     """Best canonical entry for every distinct (name, parent) of ``names``.
 
     Names and canonical names are compared on ``normalize_name``.  Candidates
@@ -131,7 +189,11 @@ def reconcile_names(names: DataFrame, canon: DataFrame, name: str, canon_id: str
     deletion variants (about 200 for L = 20, k = 2), generated only for names
     without an exact match and once per canonical entry; the variant join is
     an equi-join, so its work is linear in the variants, not quadratic in the
-    names of a block."""
+    names of a block.
+
+    ``max_percent`` allows edits in proportion to the longer name's length
+    instead of ``max_distance`` (variants grow with the power of the edits;
+    the q-gram index of ``within_percent`` does not)."""
     block = F.col(parent) if parent else F.lit("")
     cblock = F.col(canon_parent) if canon_parent else F.lit("")
     keys = [name] + ([parent] if parent else [])
@@ -153,7 +215,13 @@ def reconcile_names(names: DataFrame, canon: DataFrame, name: str, canon_id: str
     # 2. the rest: candidates sharing a deletion variant, verified by distance.
     rest = src.join(exact.select(*keys).distinct(), keys, "left_anti")
     candidates = exact
-    if max_distance > 0:
+    if max_percent is not None:
+        # of canonical rows alike in block and normalised name only the first can be the best
+        first = (cn.where(F.col("_cn").isNotNull()).groupBy("_cblk", "_cn")
+                 .agg(F.min(F.struct("_cid", "_cname")).alias("_c")).select("_cblk", "_cn", "_c.*"))
+        fuzzy = within_percent(rest, first, max_percent).select(*keys, "_d", "_cid", "_cname")
+        candidates = exact.unionByName(fuzzy)
+    elif max_distance > 0:
         rv = rest.select(*keys, "_blk", "_n",
                          F.explode(_deletion_variants(F.col("_n"), max_distance)).alias("_v"))
         cv = cn.select("_cid", "_cname", "_cblk", "_cn",

@@ -219,3 +219,51 @@ def test_reconcile_names_random_vs_brute_force(spark, k):
                        if b == blk and _lev(norm(raw), norm(c)) <= k)
         want = (cands[0][1], cands[0][0]) if cands else (None, None)
         assert got[(raw, blk)] == want, (raw, blk)
+
+
+@pytest.mark.parametrize("percent", [10, 20, 50])
+def test_reconcile_names_by_share_of_length(spark, percent):
+    """The q-gram index against all pairs: short names, names of few letters, repeated canonical rows, empty names."""
+    import random
+    rnd = random.Random(percent)
+
+    def word():
+        return "".join(rnd.choice("ab ") for _ in range(rnd.randint(0, 14)))
+    canon = [(i, word(), rnd.randint(0, 1)) for i in range(80)]
+    names = {(word(), rnd.randint(0, 1)) for _ in range(200)}
+    names |= {(c[:5] + "x" + c[5:], b) for _, c, b in canon}
+    cdf = spark.createDataFrame(canon + canon[:20] + [(99, None, 0)], "id int, name string, blk int")
+    ndf = spark.createDataFrame([*names, (None, 0)], "raw string, blk int")
+    out = reconcile_names(ndf, cdf, "raw", "id", "name", parent="blk", canon_parent="blk", max_percent=percent)
+    got = {(r["raw"], r["blk"]): (r["id"], r["distance"]) for r in out.collect()}
+
+    def norm(s):
+        return " ".join(s.split())
+    assert len(got) == len(names)
+    found = 0
+    for raw, blk in names:
+        n = norm(raw)
+        cands = sorted((_lev(n, norm(c)), i) for i, c, b in canon if b == blk
+                       and _lev(n, norm(c)) <= max(len(n), len(norm(c))) * percent // 100)
+        assert got[(raw, blk)] == ((cands[0][1], cands[0][0]) if cands else (None, None)), (raw, blk)
+        found += bool(cands and cands[0][0])
+    assert found > 5
+
+
+def test_share_of_length_has_a_bound(spark):
+    df = spark.createDataFrame([(1, "a")], "id int, name string")
+    with pytest.raises(ValueError):
+        reconcile_names(df, df.withColumnRenamed("name", "c"), "name", "id", "c", max_percent=51)
+
+
+def test_gram_index_makes_fewer_candidates_than_variants(spark):
+    """Rows that reach the distance at the same edits: rare grams against deletion variants."""
+    from cityzones.operators.reconcile import _deletion_variants, _rare_grams, _grams
+    names = [f"{a} {b} {c}" for a in ("gran", "petit", "nou", "vell", "alt") for b in ("carrer", "passeig", "mercat")
+             for c in ("nord", "sud", "llevant", "ponent")]
+    df = spark.createDataFrame([(n,) for n in names], "t string")
+    rarity = df.select(F.explode(_grams(F.col("t"), 2)).alias("g")).groupBy(F.col("g.gram").alias("gram")).agg(
+        F.count(F.lit(1)).alias("uses"))
+    grams = _rare_grams(df, "t", rarity, 10, 2)
+    variants = df.withColumn("v", F.explode(_deletion_variants(F.col("t"), 2)))
+    assert grams.count() * 10 < variants.count()
