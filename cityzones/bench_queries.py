@@ -51,6 +51,7 @@ from cityzones.plans import ml as ml_plan
 from cityzones.plans.formatters import format_incidents, format_income, format_rent, neighborhood_dim
 from cityzones.plans.indicators import avg_indicators, listing_indicators, population
 from cityzones.plans.ml_dataset import ml_dataset
+from cityzones.plans.rejects import format_judged_incidents, judge_incidents, judge_rent, reject_counts
 from cityzones.schemas import INCIDENT_FIELDS, ML_DATASET_COLUMNS, ML_SPLIT_KEYS, RENT_DDL, fields
 from cityzones.session import cut_lineage, scratch_path
 from cityzones.sources.files import (
@@ -624,6 +625,49 @@ def q_format_incidents(spark, d):
     return format_incidents(raw, incident_lookup(spark, lk["incidents"]))
 
 
+# A lookup that lacks every fifth neighbourhood, so that each rule rejects something.
+_FIFTH = "n_nationkey % 5 = 0"
+INCIDENT_REJECTS_SQL = f"""
+SELECT CASE WHEN raw.BARRI IS NULL OR raw.BARRI = '' THEN 'empty_name'
+            WHEN n_nationkey IS NULL THEN 'unknown_name' ELSE 'accepted' END AS rule, count(*) AS rows
+FROM ({INCIDENT_LANDING_SQL}) raw LEFT JOIN nation ON raw.BARRI = {SPELLING} AND NOT {_FIFTH} GROUP BY 1
+UNION ALL
+SELECT 'field_count', count(*) FROM ({INCIDENT_LANDING_SQL}) WHERE detall IN ('1', '2') HAVING count(*) > 0"""
+
+
+def _fewer_names(lookup: DataFrame) -> DataFrame:
+    return lookup.where("cast(neighborhood_id as int) % 5 <> 0")
+
+
+@query("format_incidents_rejects", sql=INCIDENT_REJECTS_SQL)
+def q_format_incidents_rejects(spark, d):
+    """Rows of the incident files by the rule that drops them."""
+    lk = write_lookups(spark, d)
+    names = _fewer_names(incident_lookup(spark, lk["incidents"]))
+    return reject_counts(judge_incidents(spark, write_incident_landing(spark, d), names))
+
+
+@query("format_incidents_accounted", sql=f"""
+SELECT f.* FROM ({FORMATTED_INCIDENTS_SQL}) f JOIN nation ON f.neighborhoodID = CAST(n_nationkey AS VARCHAR)
+  AND NOT {_FIFTH}""".replace("SELECT f.*", "SELECT " + ", ".join(f"f.{c}" for c in ["neighborhoodID", *_INCIDENT_KEPT])))
+def q_format_incidents_accounted(spark, d):
+    """The formatted incidents of the pass that counts what it drops."""
+    lk = write_lookups(spark, d)
+    names = _fewer_names(incident_lookup(spark, lk["incidents"]))
+    return format_judged_incidents(judge_incidents(spark, write_incident_landing(spark, d), names))[0]
+
+
+@query("format_rent_rejects", sql=f"""
+SELECT CASE WHEN raw.neighborhood IS NULL THEN 'no_name' WHEN n_nationkey IS NULL THEN 'unknown_name'
+            ELSE 'accepted' END AS rule, count(*) AS rows
+FROM ({RENT_LANDING_SQL}) raw LEFT JOIN nation ON raw.neighborhood = {SPELLING} GROUP BY 1""")
+def q_format_rent_rejects(spark, d):
+    """Listings by the rule that drops them."""
+    lk = write_lookups(spark, d)
+    names = rent_lookup(spark, lk["rent_districts"], lk["rent_neighborhoods"])
+    return reject_counts(judge_rent(spark, write_rent_landing(spark, d), names))
+
+
 # The parity reader splits on commas: empty fields stay '' instead of null.
 FORMATTED_INCIDENTS_NAIVE_SQL = f"""
 SELECT DISTINCT CAST(n_nationkey AS VARCHAR) AS neighborhoodID,

@@ -94,16 +94,30 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None, header:
     return reader.csv(path)
 
 
+def _permissive_csv(reader, fields: list[str], path: str) -> DataFrame:
+    """``fields`` as strings and ``_corrupt``: the raw line where its field count differs, else null."""
+    ddl = ", ".join(f"`{f}` string" for f in fields) + ", _corrupt string"
+    return (reader.option("header", True).option("mode", "PERMISSIVE").option("columnPruning", False)
+            .option("columnNameOfCorruptRecord", "_corrupt").schema(ddl).csv(path))
+
+
 def strict_csv(reader, fields: list[str], path: str) -> DataFrame:
     """``read_csv_strict`` through any CSV reader (batch or stream)."""
-    ddl = ", ".join(f"`{f}` string" for f in fields) + ", _corrupt string"
-    df = (reader.option("header", True).option("mode", "PERMISSIVE").option("columnPruning", False)
-          .option("columnNameOfCorruptRecord", "_corrupt").schema(ddl).csv(path))
+    df = _permissive_csv(reader, fields, path)
     # A data column in the filter: Spark refuses to read the corrupt column alone.
     whole = F.col("_corrupt").isNull() & (F.length(F.coalesce(F.col(fields[0]), F.lit(""))) >= 0)
     return df.where(whole).drop("_corrupt")
 
 
+def read_csv_marked(spark: SparkSession, path: str, fields: list[str]) -> DataFrame:
+    """Every line of headered CSV files: ``fields`` as strings, ``file``, and ``line`` = the raw line where its field
+    count differs (its fields are then what could be read of it), else null."""
+    df = _permissive_csv(spark.read, fields, path)
+    first = F.coalesce(F.col(fields[0]), F.lit(""))
+    line = F.when(F.length(first) >= 0, F.col("_corrupt"))  # never the corrupt column alone, as above
+    return df.select(*fields, F.col("_metadata.file_path").alias("file"), line.alias("line"))
+
+
 def read_csv_strict(spark: SparkSession, path: str, fields: list[str],
                     check_header: bool = False) -> DataFrame:
     """Headered CSV, all ``fields`` strings; rows with a different field count
