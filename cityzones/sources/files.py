@@ -159,14 +159,19 @@ def read_incidents(spark: SparkSession, path: str, naive_split: bool = False) ->
 
 
 def csv_headers(spark: SparkSession, folder: str, pattern: str = "*.csv") -> dict[str, list[str]]:
-    """Files of ``folder`` by their first line.  One narrow pass: a partial ``min_by`` of one row id per file within
-    the file's first block; the driver gets the list of files, as it does for any read."""
+    """Files of ``folder`` by their first line.
+
+    Two passes over the first block of every file: the smallest row id per file, numbers only, so a task keeps one
+    row per file; then the lines of these ids.  (Text as an aggregate's value, as in ``min_by``, would sort all
+    lines.)  The driver gets the list of files, as it does for any read."""
     lines = (spark.read.option("pathGlobFilter", pattern).text(folder)
              .select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row"))
              .where(F.col("_metadata.file_block_start") == 0))
-    heads = (lines.groupBy("file").agg(F.min_by("value", "row").alias("head"))
-             .groupBy("head").agg(F.sort_array(F.collect_list("file")).alias("files")))
-    return {r["head"]: r["files"] for r in heads.collect()}
+    first = [r["row"] for r in lines.groupBy("file").agg(F.min("row").alias("row")).collect()]
+    heads: dict[str, list[str]] = {}
+    for r in lines.where(F.col("row").isin(first)).select("value", "file").collect():
+        heads.setdefault(r["value"], []).append(r["file"])
+    return {head: sorted(files) for head, files in heads.items()}
 
 
 def read_csv_columns(spark: SparkSession, folder: str, columns: list[str], per_file_header: bool = True,
