@@ -4,17 +4,47 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
+# Some 600 bytes a row in an aggregate, which is there twice (partial and final).
+ROWS_PER_TASK = 100_000
+# A split of at most 128 MB (``spark.sql.files.maxPartitionBytes``) has about a million lines.
+TASKS_PER_SPLIT = 8
 
-def dedupe(df: DataFrame) -> DataFrame:
+
+def dedupe(df: DataFrame, tasks: int | None = None) -> DataFrame:
     """Distinct over whole rows, nested structs included.
 
     Planned as a partial (map-side) aggregate then a final one, so a group of
     copies that holds a large share of all rows is combined inside each map
-    task before the shuffle and cannot swamp a single reducer."""
-    return df.distinct()
+    task before the shuffle and cannot swamp a single reducer.
+
+    ``tasks``: rows are dealt over that many tasks first and compared only
+    there.  For wide rows that seldom repeat: a task then holds its share of
+    the distinct rows, however large an input split is and whatever
+    ``spark.sql.shuffle.partitions`` says.  Copies of one row meet in one task,
+    which keeps one of them.  Columns holding floats do not count for the
+    dealing (-0.0 equals 0.0); without any other column ``tasks`` is ignored."""
+    by = [f.name for f in df.schema if not _holds_floats(f.dataType)]
+    if tasks is None or not by:
+        return df.distinct()
+    return df.repartition(max(2, tasks), *[df[c] for c in by]).distinct()
+
+
+def _holds_floats(kind: DataType) -> bool:
+    return any(name in kind.simpleString() for name in ("double", "float"))
+
+
+def tasks_for_rows(rows: int) -> int:
+    """Tasks for ``dedupe`` over ``rows`` wide rows: at least one per core."""
+    return max(SparkSession.active().sparkContext.defaultParallelism, -(-rows // ROWS_PER_TASK))
+
+
+def tasks_for_splits(raw: DataFrame) -> int:
+    """Tasks for ``dedupe`` over text files: a few for each split of them (no job; counting would parse the files)."""
+    return max(raw.sparkSession.sparkContext.defaultParallelism, TASKS_PER_SPLIT * raw.rdd.getNumPartitions())
 
 
 def union_all(frames: list[DataFrame], tag_col: str | None = None) -> DataFrame:

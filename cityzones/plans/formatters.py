@@ -10,7 +10,7 @@ from cityzones.operators.aggregates import first_per_key
 from cityzones.operators.filters import non_empty, not_null
 from cityzones.operators.generators import explode_structs
 from cityzones.operators.reconcile import reconcile
-from cityzones.operators.sets import dedupe, union_all
+from cityzones.operators.sets import dedupe, tasks_for_rows, tasks_for_splits, union_all
 from cityzones.schemas import (
     INCIDENT_DROPPED,
     INCIDENT_FIELDS,
@@ -44,11 +44,12 @@ def format_rent(raw: DataFrame, lookup: DataFrame) -> DataFrame:
     Rows without a neighbourhood are dropped, exact duplicates (same listing
     content on the same snapshot date) removed, and listings whose
     neighbourhood spelling is not in the lookup are dropped.  These go first:
-    a spelling has one id, so only rows that stay are shuffled to be compared."""
+    a spelling has one id, so only rows that stay are shuffled to be compared.
+    Rows are counted first (Parquet: from the footers) to deal them over enough tasks."""
     cols = RENT_COLUMNS + ["year", "month", "day"]
     rows = not_null(raw.select(*cols), "neighborhood")
     matched = reconcile(rows, lookup, "neighborhood", out="neighborhoodId", on_unmatched="drop")
-    return dedupe(matched.select(*cols, "neighborhoodId"))
+    return dedupe(matched.select(*cols, "neighborhoodId"), tasks_for_rows(raw.count()))
 
 
 def format_incidents(raw: DataFrame, lookup: DataFrame, on_unmatched: str = "error") -> DataFrame:
@@ -59,7 +60,7 @@ def format_incidents(raw: DataFrame, lookup: DataFrame, on_unmatched: str = "err
     neighbourhood fields dropped."""
     rows = non_empty(raw.select(*INCIDENT_FIELDS), INCIDENT_NAME_FIELD)
     matched = dedupe(reconcile(rows, lookup, INCIDENT_NAME_FIELD, out="neighborhoodID",
-                               on_unmatched=on_unmatched))
+                               on_unmatched=on_unmatched), tasks_for_splits(raw))
     kept = [f for f in INCIDENT_FIELDS if f not in INCIDENT_DROPPED]
     return matched.select("neighborhoodID", *kept)
 
