@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cityzones.operators.reconcile import reconcile
-from cityzones.operators.sets import dedupe
+from cityzones.operators.sets import dedupe, tasks_for_rows, tasks_for_splits
 from cityzones.schemas import INCIDENT_DROPPED, INCIDENT_FIELDS, INCIDENT_NAME_FIELD, RENT_COLUMNS, RENT_DDL
 from cityzones.sources.files import path_date_columns, read_csv_marked
 
@@ -63,8 +63,9 @@ def judge_incidents(spark: SparkSession, path: str, lookup: DataFrame) -> DataFr
 
 def format_judged_incidents(judged: DataFrame) -> tuple[DataFrame, Observation]:
     """What ``format_incidents(on_unmatched='drop')`` gives, and the counts of what it drops."""
+    tasks = tasks_for_splits(judged)
     judged, observation = counted(judged, INCIDENT_RULES, "incidents")
-    kept = dedupe(judged.where(F.col("rule").isNull()).select("neighborhoodID", *INCIDENT_FIELDS))
+    kept = dedupe(judged.where(F.col("rule").isNull()).select("neighborhoodID", *INCIDENT_FIELDS), tasks)
     return kept.select("neighborhoodID", *[f for f in INCIDENT_FIELDS if f not in INCIDENT_DROPPED]), observation
 
 
@@ -79,6 +80,7 @@ def judge_rent(spark: SparkSession, root: str, lookup: DataFrame, folders: str =
 
 def format_judged_rent(judged: DataFrame) -> tuple[DataFrame, Observation]:
     """What ``format_rent`` gives, and the counts of what it drops."""
+    tasks = tasks_for_rows(judged.count())
     judged, observation = counted(judged, RENT_RULES, "rent")
     kept = judged.where(F.col("rule").isNull())
-    return dedupe(kept.select(*RENT_COLUMNS, "year", "month", "day", "neighborhoodId")), observation
+    return dedupe(kept.select(*RENT_COLUMNS, "year", "month", "day", "neighborhoodId"), tasks), observation
