@@ -56,12 +56,14 @@ def _existing(spark: SparkSession, path: str, schema) -> DataFrame | None:
 def append_new_rows(batch: DataFrame, out_path: str, partition_cols: list[str]) -> None:
     """Append the rows of ``batch`` that ``out_path`` does not hold yet.
 
-    The batch is computed once.  The partitions it touches (a handful of
+    The batch is computed once, and kept beside the table only where there is
+    something to compare it with.  The partitions it touches (a handful of
     folders) become literal filters, so only these are listed and read."""
     spark = batch.sparkSession
-    new = batch = materialize(batch, "stream-batch")
+    new = batch
     stored = _existing(spark, out_path, batch.schema)
     if stored is not None:
+        batch = materialize(batch, "stream-batch")
         touched = batch.select(*partition_cols).distinct().collect()
         here = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in row.asDict().items()])
                 for row in touched]
