@@ -43,7 +43,9 @@ def tasks_for_rows(rows: int) -> int:
 
 
 def tasks_for_splits(raw: DataFrame) -> int:
-    """Tasks for ``dedupe`` over text files: a few for each split of them (no job; counting would parse the files)."""
+    """Tasks for ``dedupe`` over text files: a few for each split of them.
+
+    Counting would parse the files; this only plans ``raw`` (and runs what it shuffles or broadcasts)."""
     return max(raw.sparkSession.sparkContext.defaultParallelism, TASKS_PER_SPLIT * raw.rdd.getNumPartitions())
 
 
