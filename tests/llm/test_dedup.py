@@ -139,6 +139,44 @@ def test_removed_passages_of_an_empty_table(spark):
         == [(1, 0, [], b"")]
 
 
+@pytest.mark.parametrize("depth,block_bytes", [(50, 4_000_000), (50, 2_500), (11, 900)])
+def test_texts_that_repeat_themselves_equal_brute_force(spark, depth, block_bytes):
+    rng = random.Random(depth * block_bytes)
+    sentences = [" ".join(words(rng, 9)) for _ in range(3)]
+    rows = [(rng.randrange(30) if i % 9 else None,
+             "".join(rng.choice([*sentences, "=" * rng.randrange(90), "ab" * rng.randrange(50), "x"])
+                     for _ in range(rng.randrange(9)))) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((2**63 - 1 if r.doc_id is None else r.doc_id, r.n_bytes, [tuple(s) for s in r.spans], bytes(r.kept))
+                 for r in suffixes.remove_repeats(df, depth, block_bytes=block_bytes).collect())
+    assert got == brute_repeats(rows, depth)
+
+
+def test_texts_are_hashed_in_two_passes_only(monkeypatch):
+    import pandas as pd
+    a, b, c, d = ("".join(chr(97 + (i * i + k) % 26 + i // 50 % 7) for i in range(200)) for k in range(4))
+    blocks = [pd.DataFrame({"block": k, "doc_id": ids, "text": texts}) for k, ids, texts in
+              [(0, [1, 5], [a + "-" + b + "-" + b, "=" * 300 + c]), (1, [3, 2], ["+" + b + d + "=" * 70 + d, c])]]
+
+    def by(column, frames):
+        return dict(list(pd.concat(frames).groupby(column)))
+
+    shared = by("block", [suffixes._shared_digits(g) for g in
+                          by("bucket", [suffixes._first_digits(50, 64)(f) for f in blocks]).values()])
+    runs = by("bucket", [suffixes._runs_left(50, 64)(f, shared[k]) for k, f in enumerate(blocks)])
+    answers = by("block", [suffixes._smaller_elsewhere(50)(g) for g in runs.values()])
+
+    def hashed(*_):
+        raise AssertionError("hashed again")
+
+    monkeypatch.setattr(suffixes, "prefix_sums", hashed)
+    out = pd.concat([suffixes._cut(50)(f, answers[k]) for k, f in enumerate(blocks)])
+    got = sorted((k, n, [tuple(s.values()) for s in spans], kept) for k, n, spans, kept in out.itertuples(index=False))
+    rows = [row for f in blocks for row in f[["doc_id", "text"]].itertuples(index=False, name=None)]
+    assert got == brute_repeats(rows, 50)
+    assert any(spans for _, _, spans, _ in got)
+
+
 def test_tiles_give_the_same_runs(monkeypatch):
     import pandas as pd
     rng = random.Random(9)
