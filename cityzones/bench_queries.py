@@ -415,9 +415,14 @@ FROM (SELECT s_nationkey AS nk, CAST(year(l_shipdate) AS INTEGER) AS year,
       FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2) agg"""
 
 
+# Most lines of a file.  Compressed files are not cut when read: small ones come to the splits of plain text,
+# about a million lines in 128 MB (``spark.sql.files.openCostInBytes`` counts 4 MB for each).
+INCIDENT_LINES = 50_000
+
+
 @landed
 def write_incident_landing(spark, d) -> str:
-    """Incident log CSV files (25 fields, header per file), some lines with a field too few or too many."""
+    """Incident log CSV files (25 fields, header per file, compressed), some lines with a field too few or too many."""
     li = _with_repeats(_t(spark, d, "lineitem"), "l_orderkey")
     su = _t(spark, d, "supplier").select("s_suppkey", "s_nationkey")
     g = _geo(spark, d)
@@ -441,14 +446,14 @@ def write_incident_landing(spark, d) -> str:
         "carrer": F.col("n_name"),
     }
     rows = j.select(*[filled.get(f, F.lit(None).cast("string")).alias(f) for f in INCIDENT_FIELDS])
-    path = write_csv(rows, scratch_path(spark, "incident-landing"))
+    small = {"compression": "snappy", "maxRecordsPerFile": INCIDENT_LINES}
+    path = write_csv(rows, scratch_path(spark, "incident-landing"), **small)
     # raw lines: a separator that no line holds keeps their commas as they are
     raw = [F.coalesce(F.col(f), F.lit("")) for f in INCIDENT_FIELDS]
     short, long = F.concat_ws(",", *raw[:-1]), F.concat_ws(",", *raw, F.lit("extra"))
     odd = rows.where(F.col("detall").isin("1", "2")).select(
         F.when(F.col("detall") == "1", short).otherwise(long).alias(",".join(INCIDENT_FIELDS)))
-    odd.write.mode("append").option("header", True).option("sep", "\u0001").csv(path)
-    return path
+    return write_csv(odd, path, mode="append", sep="\u0001", **small)
 
 
 _INCIDENT_FILLED_SQL = {

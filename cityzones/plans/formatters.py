@@ -10,7 +10,7 @@ from cityzones.operators.aggregates import first_per_key
 from cityzones.operators.filters import non_empty, not_null
 from cityzones.operators.generators import explode_structs
 from cityzones.operators.reconcile import reconcile
-from cityzones.operators.sets import dedupe, tasks_for_rows, tasks_for_splits, union_all
+from cityzones.operators.sets import dedupe, dedupe_grouped, tasks_for_rows, tasks_for_splits, union_all
 from cityzones.schemas import (
     INCIDENT_DROPPED,
     INCIDENT_FIELDS,
@@ -52,15 +52,16 @@ def format_rent(raw: DataFrame, lookup: DataFrame) -> DataFrame:
     return dedupe(matched.select(*cols, "neighborhoodId"), tasks_for_rows(raw.count()))
 
 
-def format_incidents(raw: DataFrame, lookup: DataFrame, on_unmatched: str = "error") -> DataFrame:
+def format_incidents(raw: DataFrame, lookup: DataFrame, on_unmatched: str = "error",
+                     grouped_by: list[str] | None = None) -> DataFrame:
     """Incident rows (25 string fields) -> ``neighborhoodID`` + 21 fields.
 
     Rows with an empty neighbourhood name are dropped, duplicates removed, the
     name reconciled through the incident lookup, and the four raw district /
-    neighbourhood fields dropped."""
+    neighbourhood fields dropped.  ``grouped_by``: deduped by ``dedupe_grouped``."""
     rows = non_empty(raw.select(*INCIDENT_FIELDS), INCIDENT_NAME_FIELD)
-    matched = dedupe(reconcile(rows, lookup, INCIDENT_NAME_FIELD, out="neighborhoodID",
-                               on_unmatched=on_unmatched), tasks_for_splits(raw))
+    matched = reconcile(rows, lookup, INCIDENT_NAME_FIELD, out="neighborhoodID", on_unmatched=on_unmatched)
+    matched = dedupe_grouped(matched, grouped_by) if grouped_by else dedupe(matched, tasks_for_splits(raw))
     kept = [f for f in INCIDENT_FIELDS if f not in INCIDENT_DROPPED]
     return matched.select("neighborhoodID", *kept)
 

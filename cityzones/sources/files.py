@@ -158,7 +158,10 @@ def read_incidents(spark: SparkSession, path: str, naive_split: bool = False) ->
     return read_csv_strict(spark, path, INCIDENT_FIELDS)
 
 
-def csv_headers(spark: SparkSession, folder: str, pattern: str = "*.csv") -> dict[str, list[str]]:
+CSV_FILES = "*.{csv,csv.gz,csv.snappy}"
+
+
+def csv_headers(spark: SparkSession, folder: str, pattern: str = CSV_FILES) -> dict[str, list[str]]:
     """Files of ``folder`` by their first line.
 
     Two passes over the first block of every file: the smallest row id per file, numbers only, so a task keeps one
@@ -176,8 +179,8 @@ def csv_headers(spark: SparkSession, folder: str, pattern: str = "*.csv") -> dic
 
 def read_csv_columns(spark: SparkSession, folder: str, columns: list[str], per_file_header: bool = True,
                      line_breaks: bool = True) -> DataFrame:
-    """Named columns of every ``*.csv`` file in ``folder``, each file read by
-    its own header (files may order their columns differently).
+    """Named columns of every ``*.csv`` file in ``folder`` (``CSV_FILES``: or compressed),
+    each file read by its own header (files may order their columns differently).
 
     Files are grouped by their header line; each distinct header is one read of
     Spark's CSV reader over the files that have it, and the reads are united by
@@ -191,7 +194,7 @@ def read_csv_columns(spark: SparkSession, folder: str, columns: list[str], per_f
     differs then fails the job (``enforceSchema=false``)."""
     if not per_file_header:
         df = (spark.read.option("header", True).option("enforceSchema", False)
-              .option("pathGlobFilter", "*.csv").csv(folder))
+              .option("pathGlobFilter", CSV_FILES).csv(folder))
         return df.select(*columns)
     out = None
     for head, files in sorted(csv_headers(spark, folder).items()):

@@ -23,8 +23,8 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     return path
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True) -> str:
-    df.write.mode(mode).option("header", header).csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True, **options) -> str:
+    df.write.mode(mode).options(header=header, **options).csv(path)
     return path
 
 

@@ -53,14 +53,16 @@ def _existing(spark: SparkSession, path: str, schema) -> DataFrame | None:
         return None
 
 
-def append_new_rows(batch: DataFrame, out_path: str, partition_cols: list[str]) -> None:
+def append_new_rows(batch: DataFrame, out_path: str, partition_cols: list[str], grouped: bool = False) -> None:
     """Append the rows of ``batch`` that ``out_path`` does not hold yet.
 
     The batch is computed once, and kept beside the table only where there is
     something to compare it with.  The partitions it touches (a handful of
-    folders) become literal filters, so only these are listed and read."""
+    folders) become literal filters, so only these are listed and read.
+    ``grouped``: its tasks hold few partitions each (``dedupe_grouped``), so
+    rows are not shuffled again to write them where nothing is stored yet."""
     spark = batch.sparkSession
-    new = batch
+    new, rebalance = batch, not grouped
     stored = _existing(spark, out_path, batch.schema)
     if stored is not None:
         batch = materialize(batch, "stream-batch")
@@ -69,14 +71,14 @@ def append_new_rows(batch: DataFrame, out_path: str, partition_cols: list[str])
                 for row in touched]
         stored = stored.where(reduce(lambda a, b: a | b, here, F.lit(False))).select(*batch.columns)
         same = reduce(lambda a, b: a & b, [batch[c].eqNullSafe(stored[c]) for c in batch.columns])
-        new = batch.join(stored, same, "left_anti")
-    write_parquet(new, out_path, mode="append", partition_by=partition_cols)
+        new, rebalance = batch.join(stored, same, "left_anti"), True
+    write_parquet(new, out_path, mode="append", partition_by=partition_cols, rebalance=rebalance)
 
 
 def run_incremental(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], out_path: str,
                     partition_cols: list[str], checkpoint_location: str | None = None,
-                    available_now: bool = True, processing_time: str | None = None
-                    ) -> StreamingQuery:
+                    available_now: bool = True, processing_time: str | None = None,
+                    grouped: bool = False) -> StreamingQuery:
     """Start the stream: ``transform`` each micro-batch, append new rows only.
 
     ``available_now`` processes everything that has landed and stops (a
@@ -84,12 +86,12 @@ def run_incremental(stream: DataFrame, transform: Callable[[DataFrame], DataFram
     ``processing_time`` triggers.  Recurring runs must pass the same
     ``checkpoint_location`` (shared storage) to read only new files; without
     one, a fresh folder is used and every file is read again (still without
-    duplicates, thanks to the anti-join)."""
+    duplicates, thanks to the anti-join).  ``grouped``: see ``append_new_rows``."""
     spark = stream.sparkSession
     ckpt = checkpoint_location or scratch_path(spark, "stream-checkpoint")
 
     def per_batch(df: DataFrame, epoch_id: int) -> None:
-        append_new_rows(transform(df), out_path, partition_cols)
+        append_new_rows(transform(df), out_path, partition_cols, grouped)
 
     writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", ckpt)
     if available_now:
@@ -133,7 +135,8 @@ def ingest_incidents(spark: SparkSession, landing_path: str, lookup: DataFrame,
 
     def transform(df: DataFrame) -> DataFrame:
         raw = parse_csv_naive(df, INCIDENT_FIELDS) if naive_csv else df
-        return format_incidents(raw, lookup, on_unmatched)
+        first = _existing(spark, out_path, df.schema) is None  # later batches are compared with what is stored
+        return format_incidents(raw, lookup, on_unmatched, FORMATTED_PARTITIONS["incidents"] if first else None)
 
     return run_incremental(stream, transform, out_path, FORMATTED_PARTITIONS["incidents"],
-                           checkpoint_location, available_now)
+                           checkpoint_location, available_now, grouped=True)
